@@ -99,7 +99,7 @@ def first_rows(df: DataFrame, n: int, row_id: str = "row_id") -> DataFrame:
     """
     if n <= 0:
         return df.limit(0)
-    bucket = id_bucket(row_id, *id_range(df, row_id), buckets=65536)
+    bucket = id_bucket(row_id, *id_range(df, row_id))
     found = cutoffs(df, [], row_id, bucket, lambda _: F.lit(n)).first()
     return df.limit(0) if found is None else df.where(F.col(row_id) <= found["cutoff"])
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from termloom.functions import text as tx
 from termloom.operators.documents import union_sources
-from termloom.operators.scale import cutoffs, lookup_join, materialise
+from termloom.operators.scale import BROADCAST_ROWS, cutoffs, lookup_join, materialise
 
 
 @dataclasses.dataclass(frozen=True)
@@ -78,15 +78,18 @@ def document_frequency(
 
 
 def most_frequent(statistics: DataFrame, n: int) -> DataFrame:
-    """Exactly the ``n`` terms with the highest ``cf`` (all if there are fewer)."""
+    """Exactly the ``n`` terms with the highest ``cf`` (all if there are fewer).
+
+    ``statistics`` is read several times and should be materialised.
+    """
+    if statistics.count() <= n:
+        return statistics
     ranked = statistics.select("*", (-F.col("cf")).alias("_rank"))
     # One bucket per frequency: few, because high frequencies are rare.
     border = ranked.groupBy("_rank").agg(F.count("*").alias("_rows"))
     upto = W.orderBy("_rank").rowsBetween(W.unboundedPreceding, W.currentRow)
     border = border.withColumn("_upto", F.sum("_rows").over(upto))
     found = border.where(F.col("_upto") >= n).orderBy("_rank").limit(1).first()
-    if found is None:
-        return statistics
     missing = n - (found["_upto"] - found["_rows"])
     at_border = ranked.where(F.col("_rank") == found["_rank"])
     hashed = at_border.withColumn("_hash", F.md5("term"))
@@ -129,17 +132,21 @@ def weigh(
 def tfidf(df: DataFrame, settings: Features, text: str = "text") -> DataFrame:
     """TF-IDF weights of a corpus under its own vocabulary: ``row_id, term, weight``.
 
-    The vocabulary is broadcast only if ``max_features`` bounds it.
+    The vocabulary is written once and counted; it is broadcast if it is small.
     """
     n_docs = df.count()
-    # Texts are smaller than their term rows: move them by row id once, and the
-    # length of a document needs no further shuffle of its terms.
-    placed = df.select("row_id", text).repartition("row_id")
-    vocabulary = with_idf(
-        document_frequency(term_frequencies(df, settings.terms, text), n_docs, settings), n_docs
+    counted = document_frequency(
+        term_frequencies(df, settings.terms, text), n_docs, settings
     )
+    vocabulary = materialise(with_idf(counted, n_docs).select("term", "idf"))
+    rows = vocabulary.count()
+    placed = df.select("row_id", text)
+    if rows <= BROADCAST_ROWS:
+        # Texts are smaller than their term rows: moved by row id once, the length
+        # of a document needs no shuffle of its terms.
+        placed = placed.repartition("row_id")
     frequencies = term_frequencies(placed, settings.terms, text)
-    return weigh(frequencies, vocabulary, settings.max_features, settings.sublinear)
+    return weigh(frequencies, vocabulary, rows, settings.sublinear)
 
 
 def feature_union(parts: dict[str, DataFrame]) -> DataFrame:

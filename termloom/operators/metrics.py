@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.scale import digest, ordinals
+from termloom.operators.scale import digest, materialise, ordinals
 
 
 def align_by_row_id(predictions: DataFrame, labels: DataFrame) -> DataFrame:
@@ -31,7 +31,8 @@ def align_by_content(predictions: DataFrame, labels: DataFrame) -> DataFrame:
     def keyed(df: DataFrame, value: Column) -> DataFrame:
         text = F.coalesce(F.col("text").cast("string"), F.lit(""))
         group = F.coalesce(F.col("group").cast("string"), F.lit("unknown"))
-        slim = df.select("row_id", digest(group, text).alias("_key"), value)
+        # Written once: a digest is far smaller than the text it stands for.
+        slim = materialise(df.select("row_id", digest(group, text).alias("_key"), value))
         return ordinals(slim, ["_key"], name="_ordinal")
 
     left = keyed(predictions, F.col("predicted_sentiment").alias("predicted"))

@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 
 # A lookup side with at most this many rows may be broadcast.
 BROADCAST_ROWS = 500_000
-# Copies of a lookup side, and pieces of a hot key, in the salted join.
+# Copies of a lookup side, and pieces of a hot key, in the salted join (power of 2).
 SALTS = 32
-# Pieces of the row-id range in which equal rows are numbered.
-ID_BUCKETS = 4096
+# Most pieces of a row-id range, and the smallest width of a piece.
+ID_PIECES = 4096
+PIECE_WIDTH = 65_536
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -82,17 +83,20 @@ def lookup_join(
     """
     if lookup_rows is not None and lookup_rows <= BROADCAST_ROWS:
         return facts.join(F.broadcast(lookup), list(on), how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)))
-    copies = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-    )
+    last = F.lit(SALTS - 1).cast("long")
+    salted = facts.withColumn("_salt", F.xxhash64(spread_by).bitwiseAND(last))
+    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def id_bucket(row_id: str, low: int, high: int, buckets: int = ID_BUCKETS) -> Column:
-    """Piece of the id range that a row lies in, increasing with the id."""
-    width = max(1, -(-(high - low + 1) // buckets))
-    return F.floor((F.col(row_id) - F.lit(low)) / F.lit(width)).cast("long")
+def id_bucket(row_id: str, low: int, high: int, width: int = PIECE_WIDTH) -> Column:
+    """Piece of the id range that a row lies in; never decreases with the id.
+
+    Even for dense ids and for ids spread over all 64-bit numbers.
+    """
+    width = max(width, -(-(high - low + 1) // ID_PIECES))
+    distance = F.col(row_id).cast("double") - F.lit(float(low))
+    return F.floor(distance / F.lit(float(width))).cast("long")
 
 
 def id_range(df: DataFrame, row_id: str) -> tuple[int, int]:
@@ -142,16 +146,21 @@ def cutoffs(
 
 
 def ordinals(
-    df: DataFrame, keys: Sequence[str], row_id: str = "row_id", name: str = "ordinal"
+    df: DataFrame,
+    keys: Sequence[str],
+    row_id: str = "row_id",
+    name: str = "ordinal",
+    width: int = PIECE_WIDTH,
 ) -> DataFrame:
     """Add the 0-based position of a row among rows with equal ``keys``, by row id.
 
     Rows are numbered inside (keys, piece of the id range); the count of earlier
     pieces is added afterwards, so a key that holds a third of all rows is spread
-    over up to ``ID_BUCKETS`` tasks. Keep ``keys`` narrow, see ``digest``.
+    over up to ``ID_PIECES`` tasks. The frame is read three times: materialise what
+    is expensive to make, and keep ``keys`` narrow, see ``digest``.
     """
     keys = list(keys)
-    pieces = df.withColumn("_piece", id_bucket(row_id, *id_range(df, row_id)))
+    pieces = df.withColumn("_piece", id_bucket(row_id, *id_range(df, row_id), width))
     counted = pieces.groupBy(*keys, "_piece").agg(F.count("*").alias("_rows"))
     earlier = W.partitionBy(*keys).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     # Only keys that reach into a second piece have an offset.
@@ -173,7 +182,8 @@ def ordinals(
 def digest(*columns: Column) -> Column:
     """SHA-256 over strings; equal exactly when all of them are equal."""
     parts = [F.concat(F.length(c).cast("string"), F.lit(":"), c) for c in columns]
-    return F.unhex(F.sha2(F.concat(*parts), 256))
+    # Never null, so that joins on it add no null check that hashes again.
+    return F.coalesce(F.unhex(F.sha2(F.concat(*parts), 256)), F.lit(b""))
 
 
 def number_rows(df: DataFrame, name: str = "row_id") -> DataFrame:
