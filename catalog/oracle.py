@@ -272,6 +272,24 @@ def oracle_sql() -> dict[str, str]:
             FROM documents ORDER BY doc_id LIMIT 100""",
         "row_numbers": """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id, text
             FROM documents""",
+        "file_row_numbers": """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id
+            FROM documents""",
+        "prepare_training": f"""WITH raw AS (
+              SELECT doc_id AS row_id, text, 'articles' AS grp, 'documents' AS src,
+                CASE WHEN n_chars % 5 IN (0, 1) THEN 'negative' WHEN n_chars % 5 = 2
+                  THEN 'neutral' ELSE 'positive' END AS label FROM documents
+              UNION ALL
+              SELECT conv_id * 1000 + turn, text, 'talks', 'conversations',
+                CASE length(text) % 3 WHEN 0 THEN 'negative' WHEN 1 THEN 'neutral'
+                  ELSE 'positive' END FROM conversations),
+            chosen AS (SELECT * FROM raw
+              QUALIFY row_number() OVER (PARTITION BY src ORDER BY {SHUFFLE}) <= 300),
+            keyed AS (SELECT src || '|' || row_id AS row_id, grp, label,
+              grp || ' ' || text AS model_input FROM chosen WHERE {CLEAN})
+            SELECT row_id, grp AS "group", label, model_input,
+              CASE WHEN row_number() OVER (PARTITION BY label ORDER BY {SHUFFLE})
+                <= round(0.2::DOUBLE * count(*) OVER (PARTITION BY label))
+                THEN 'test' ELSE 'train' END AS split FROM keyed""",
         "exact_sample": f"""WITH {DOCS} SELECT row_id, grp AS "group" FROM docs
             QUALIFY row_number() OVER (ORDER BY {SHUFFLE}) <= 60""",
         "exact_sample_by_group": f"""WITH {DOCS} SELECT row_id, lang FROM docs

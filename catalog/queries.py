@@ -70,7 +70,7 @@ def model_input(spark, sf_dir):
     return built.select("row_id", "model_input", "group")
 
 
-def _sources(spark, sf_dir):
+def _sources(spark, sf_dir, *keep):
     written = fr.table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("row_id"), "text", F.pmod("n_chars", F.lit(5)).alias("label")
     )
@@ -80,8 +80,8 @@ def _sources(spark, sf_dir):
         F.pmod(F.length("text"), F.lit(3)).alias("label"),
     )
     return [
-        readers.labelled(written, "articles", "documents"),
-        readers.labelled(spoken, "talks", "conversations", lb.three_class),
+        readers.labelled(written, "articles", "documents", keep=keep),
+        readers.labelled(spoken, "talks", "conversations", lb.three_class, keep=keep),
     ]
 
 
@@ -112,6 +112,17 @@ def row_numbers(spark, sf_dir):
     return scale.number_rows(rows)
 
 
+@query
+def file_row_numbers(spark, sf_dir):
+    return scale.number_files(spark, f"{sf_dir}/documents.parquet").select("row_id", "doc_id")
+
+
+@query
+def prepare_training(spark, sf_dir):
+    split, _ = jobs.prepare_training(_sources(spark, sf_dir, "row_id"), sample_rows=300)
+    return split.select("row_id", "group", "label", "model_input", "split")
+
+
 @query
 def exact_sample(spark, sf_dir):
     rows = fr.docs(spark, sf_dir).select("row_id", "group")

@@ -52,10 +52,12 @@ def align(predictions: DataFrame, labels: DataFrame, how: str = "auto") -> DataF
         return align_by_content(predictions, labels)
     if how != "auto":
         raise ValueError(f"how must be 'auto', 'row_id' or 'content', not {how!r}")
-    joined = align_by_row_id(predictions, labels)
     needed = {"group", "text"}
-    has_content = needed <= set(predictions.columns) and needed <= set(labels.columns)
-    if has_content and joined.count() != predictions.count():
+    if not (needed <= set(predictions.columns) and needed <= set(labels.columns)):
+        return align_by_row_id(predictions, labels)
+    # Three narrow columns, written once: counted here and read by the caller.
+    joined = materialise(align_by_row_id(predictions, labels))
+    if joined.count() != predictions.count():
         return align_by_content(predictions, labels)
     return joined
 

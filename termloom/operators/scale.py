@@ -186,12 +186,26 @@ def digest(*columns: Column) -> Column:
     return F.coalesce(F.unhex(F.sha2(F.concat(*parts), 256)), F.lit(b""))
 
 
+def _numbered(files: DataFrame, place: list[str], index: str, name: str) -> DataFrame:
+    """Number rows by file (in the order of ``place``), then by index in the file."""
+    sizes = files.groupBy(*place).agg(F.count("*").alias("_rows"))
+    # One row per file: small enough for one ordered window.
+    earlier = W.orderBy(*place).rowsBetween(W.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
+    starts = materialise(sizes.select(*place, start))
+    joined = lookup_join(files, starts, place, starts.count(), index)
+    number = (F.col("_start") + F.col(index)).cast("long").alias(name)
+    rest = [c for c in files.columns if c not in {*place, index}]
+    return joined.select(number, *rest)
+
+
 def number_rows(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Number rows 0..n-1 in input order (partition order, then order inside it).
 
     The frame is written to the shared folder once; a row's number is the number of
     rows in earlier files plus its index in its own file, so it does not depend on
-    how the files are split into tasks later. Prefer a key of the source.
+    how the files are split into tasks later. Prefer a key of the source, or
+    ``number_files`` for parquet.
     """
     staged = df.sparkSession.read.parquet(written(df, "rows"))
     file = F.col("_metadata.file_name")
@@ -201,16 +215,17 @@ def number_rows(df: DataFrame, name: str = "row_id") -> DataFrame:
         F.regexp_extract(file, r"-c(\d+)\.", 1).cast("long").alias("_chunk"),
         F.col("_metadata.row_index").alias("_index"),
     )
-    sizes = placed.groupBy("_part", "_chunk").agg(F.count("*").alias("_rows"))
-    # One row per file: small enough for one ordered window.
-    earlier = W.orderBy("_part", "_chunk").rowsBetween(W.unboundedPreceding, -1)
-    starts = materialise(
-        sizes.select(
-            "_part",
-            "_chunk",
-            F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
-        )
+    return _numbered(placed, ["_part", "_chunk"], "_index", name)
+
+
+def number_files(spark: SparkSession, path: str, name: str = "row_id") -> DataFrame:
+    """Read parquet with rows numbered 0..n-1 by file path and place in the file.
+
+    Nothing is copied: the sizes of the files come from a scan without columns.
+    """
+    placed = spark.read.parquet(path).select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.row_index").alias("_index"),
     )
-    joined = lookup_join(placed, starts, ["_part", "_chunk"], starts.count(), "_index")
-    number = (F.col("_start") + F.col("_index")).cast("long").alias(name)
-    return joined.select(number, *df.columns)
+    return _numbered(placed, ["_file"], "_index", name)

@@ -176,11 +176,19 @@ def most_common_terms(df: DataFrame, n: int = 20, tokenise: Tokeniser | None = N
     """The ``n`` most frequent terms, ties by first appearance (row id, position)."""
     tokenise = tokenise or tx.check_tokens
     rows = df.select("row_id", F.posexplode(tokenise(F.col("text"))).alias("pos", "term"))
+    # Id and position as one number: a struct would turn the hash aggregate to a sort.
+    place = F.col("row_id").cast("decimal(20,0)") * F.lit(_POSITIONS) + F.col("pos")
     counted = rows.groupBy("term").agg(
-        F.count("*").alias("count"), F.min(F.struct("row_id", "pos")).alias("first")
+        F.count("*").alias("count"),
+        F.min("row_id").alias("first_row_id"),
+        F.min(place.cast("decimal(38,0)")).alias("_first"),
     )
-    ranked = counted.orderBy(F.desc("count"), F.asc("first")).limit(n)
-    return ranked.select("term", "count", F.col("first.row_id").alias("first_row_id"))
+    ranked = counted.orderBy(F.desc("count"), F.asc("_first")).limit(n)
+    return ranked.drop("_first")
+
+
+# More than any number of tokens in one text.
+_POSITIONS = 1 << 31
 
 
 def term_frequency_check(

@@ -14,7 +14,7 @@ from termloom.functions import text as tx
 from termloom.functions.labels import REPORT_ORDER
 from termloom.models.selection import predicted
 from termloom.operators import documents, metrics, runs, terms
-from termloom.operators.scale import materialise, number_rows, spread
+from termloom.operators.scale import materialise, number_files, number_rows, spread
 from termloom.sources import readers, writers
 
 
@@ -105,11 +105,12 @@ def prepare_training(
     """Sampled, united, cleaned rows with model input and split, and the counts of
     the cleaning. Sources have ``row_id`` and the labelled columns."""
     sampled = [documents.exact_sample(source, sample_rows, seed) for source in sources]
-    data = documents.union_sources(sampled)
+    # At most ``sample_rows`` rows per source.
+    data = materialise(documents.union_sources(sampled))
     cleaned = documents.model_input(documents.drop_unusable(data))
     # Ids repeat between sources; the source name makes them unique.
     unique = F.concat_ws("|", "source_dataset", F.col("row_id").cast("string"))
-    keyed = materialise(cleaned.withColumn("row_id", unique))
+    keyed = cleaned.withColumn("row_id", unique)
     return documents.stratified_split(keyed, fraction, seed=seed), documents.cleaning_counts(data)
 
 
@@ -156,21 +157,23 @@ def run(
     """
     started = time.perf_counter()
     source = readers.read_table(spark, input_path, fmt)
+    if "row_id" not in source.columns and fmt == "parquet":
+        source = number_files(spark, input_path)
     keep = ["row_id"] if "row_id" in source.columns else []
     docs = documents.normalise(source, text_col, group_col, keep)
     if keep:
         docs = docs.withColumn("row_id", F.col("row_id").cast("long"))
     else:
         docs = number_rows(docs)
-    scored = score(spread(docs, "row_id"), model, max_docs)
+    # Sorted before scoring: the sampling of a sort would score everything twice.
+    scored = score(docs.orderBy("row_id"), model, max_docs)
     paths = {
         name: f"{output_dir.rstrip('/')}/{name}"
         for name in ("predictions", "report", "statistics")
     }
-    writers.write_predictions(scored, paths["predictions"])
+    writers.write_predictions(scored, paths["predictions"], ordered=False)
     saved = readers.read_predictions(spark, paths["predictions"], "parquet")
-    profile = terms.corpus_profile(spread(_sentiments(saved), "row_id"))
-    profile = materialise(profile)
+    profile = materialise(terms.corpus_profile(spread(_sentiments(saved), "row_id")))
     report = term_report(saved, top_n, profile=profile)
     writers.write_json(writers.report_document(report), paths["report"])
     statistics, overall = work_statistics(saved, profile)

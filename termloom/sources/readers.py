@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,9 +68,10 @@ def labelled(
     mapping: Callable[[Column], Column] | None = five_class,
     text_col: str = "text",
     label_col: str = "label",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """``text, label, category, source_dataset``; without a mapping no label."""
-    columns = [F.col(text_col).cast("string").alias("text")]
+    """``keep, text, label, category, source_dataset``; without a mapping no label."""
+    columns = [*keep, F.col(text_col).cast("string").alias("text")]
     if mapping is not None:
         columns.append(mapping(F.col(label_col).cast("int")).alias("label"))
     constants = [F.lit(category).alias("category"), F.lit(source).alias("source_dataset")]
@@ -84,7 +85,7 @@ def read_labelled(
     source: str,
     mapping: Callable[[Column], Column] | None = five_class,
     fmt: str = "csv",
-    **columns: str,
+    **columns,
 ) -> DataFrame:
     """One labelled source; ``mapping=None`` reads it as an unlabelled one."""
     return labelled(read_table(spark, path, fmt), category, source, mapping, **columns)

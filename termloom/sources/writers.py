@@ -139,3 +139,56 @@ def save_model(model: PipelineModel, path: str) -> None:
 def load_model(path: str) -> PipelineModel:
     """Load a model saved by ``save_model``."""
     return PipelineModel.load(path)
+
+
+def validation_document(
+    check: DataFrame, common: DataFrame, found: dict[str, DataFrame]
+) -> DataFrame:
+    """Validation report as one row: term check with its most common terms, and
+    accuracy, class report and confusion matrix of ``jobs.validate``.
+
+    Every input has a row per class, pair of classes or listed term.
+    """
+    one = F.lit(1).alias("_one")
+    listed = common.agg(
+        F.transform(
+            F.sort_array(
+                F.collect_list(F.struct((-F.col("count")).alias("n"), "first_row_id", "term"))
+            ),
+            lambda e: F.struct(e["term"].alias("term"), (-e["n"]).alias("count")),
+        ).alias("top_terms")
+    )
+    terms = (
+        check.select("*", one)
+        .join(listed.select("*", one), "_one")
+        .select(F.struct(*check.columns, "top_terms").alias("term_frequency_validation"), "_one")
+    )
+    classes = found["report"].agg(
+        F.map_from_entries(
+            F.sort_array(
+                F.collect_list(
+                    F.struct(
+                        "class",
+                        F.struct("precision", "recall", F.col("f1").alias("f1-score"), "support"),
+                    )
+                )
+            )
+        ).alias("classification_report")
+    )
+    line = F.struct("predicted", "count")
+    matrix = (
+        found["matrix"]
+        .groupBy("actual")
+        .agg(F.transform(F.sort_array(F.collect_list(line)), lambda c: c["count"]).alias("row"))
+        .agg(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("actual", "row"))), lambda r: r["row"]
+            ).alias("confusion_matrix")
+        )
+    )
+    metrics = found["accuracy"].select("*", one)
+    for part in (classes, matrix):
+        metrics = metrics.join(part.select("*", one), "_one")
+    names = ["samples_compared", "accuracy", "classification_report", "confusion_matrix"]
+    metrics = metrics.select(F.struct(*names).alias("sentiment_validation"), "_one")
+    return terms.join(metrics, "_one").drop("_one")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from termloom.models import candidates as cd
 from termloom.models import selection, weights
+from termloom.models.metadata import training_record
 from termloom.operators import documents, features, scoring
 from termloom.plans import jobs
 from termloom.sources import readers, writers
@@ -71,6 +72,26 @@ def test_selection_takes_the_best_and_refits(corpus):
     assert selection.test_metrics(selection.evaluate(model, corpus)).first()["accuracy"] == 1.0
 
 
+def test_training_record(spark, corpus, folder):
+    data = corpus.withColumns({"category": F.col("group"), "source_dataset": F.lit("set")})
+    scores = spark.createDataFrame(
+        [(0, "baseline", 0.9, 0.8, True)], selection.SCORES + ", selected boolean"
+    )
+    counts = spark.createDataFrame(
+        [("positive", "positive", 3), ("negative", "positive", 1)],
+        "actual string, predicted string, count long",
+    )
+    record = training_record(data, scores, counts, cd.CANDIDATES[0])
+    writers.write_json(record, folder)
+    found = spark.read.json(folder).first()
+    assert found["training_data"]["total_rows"] == 90
+    assert found["training_data"]["rows_by_label"]["neutral"] == 30
+    assert found["selected_candidate"] == "baseline"
+    assert found["metrics"]["accuracy"] == 0.75
+    assert found["model_parameters"]["words"]["max_features"] == "50000"
+    assert len(found["confusion_matrix"]) == 9
+
+
 def test_prepare_training_and_score(spark, corpus):
     raw = corpus.select("row_id", F.col("model_input").alias("text"), F.pmod("row_id", F.lit(3)).alias("label"))
     sources = []

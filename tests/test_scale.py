@@ -83,6 +83,12 @@ def test_number_rows_follows_partition_order(spark, parts):
     assert [(r["row_id"], r["v"]) for r in found] == [(i, 3 * i) for i in range(1000)]
 
 
+def test_number_files_follows_paths_without_a_copy(spark, folder):
+    spark.range(0, 500, 1, 4).write.parquet(folder)
+    found = scale.number_files(spark, folder).orderBy("row_id").collect()
+    assert [(r["row_id"], r["id"]) for r in found] == [(i, i) for i in range(500)]
+
+
 def test_digest_keeps_fields_apart(spark):
     df = spark.createDataFrame(
         [("a", "b:c"), ("a:b", "c"), ("ab", ""), ("", "ab"), ("a", "b:c")], "x string, y string"

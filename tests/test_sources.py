@@ -88,6 +88,30 @@ def test_group_report_documents(spark, predictions, folder):
     assert {"group", "top_positive_terms", "top_negative_terms"} == set(found.columns)
 
 
+def test_written_validation_document(spark, predictions, folder):
+    labels = predictions.withColumnRenamed("predicted_sentiment", "sentiment")
+    docs = predictions.select("row_id", "text")
+    document = writers.validation_document(
+        terms.term_frequency_check(docs, None),
+        terms.most_common_terms(docs),
+        jobs.validate(predictions, labels),
+    )
+    writers.write_json(document, folder)
+    found = spark.read.schema(
+        "term_frequency_validation struct<checked_rows:bigint,match_ratio:double,"
+        "top_terms:array<struct<term:string,count:bigint>>>,"
+        "sentiment_validation struct<samples_compared:bigint,accuracy:double,"
+        "classification_report:map<string,struct<`f1-score`:double,support:bigint>>,"
+        "confusion_matrix:array<array<bigint>>>"
+    ).json(folder).first()
+    assert found["term_frequency_validation"]["checked_rows"] == 6
+    assert found["term_frequency_validation"]["match_ratio"] == 1.0
+    metrics_found = found["sentiment_validation"]
+    assert (metrics_found["samples_compared"], metrics_found["accuracy"]) == (6, 1.0)
+    assert metrics_found["confusion_matrix"] == [[1, 0, 0], [0, 2, 0], [0, 0, 3]]
+    assert metrics_found["classification_report"]["positive"]["support"] == 3
+
+
 def test_validation_document(spark, tmp_path):
     path = tmp_path / "v.json"
     path.write_text(json.dumps({
