@@ -206,8 +206,8 @@ BEST = """CASE WHEN negative >= neutral AND negative >= positive THEN 'negative'
      WHEN neutral >= positive THEN 'neutral' ELSE 'positive' END"""
 EXPERIMENTS = r"""runs AS (
   SELECT regexp_extract(source, '(\d+)', 1)::BIGINT AS max_docs,
-         length(lang)::BIGINT AS workers, min(doc_id) AS run_seq,
-         count(*) AS processed_docs, max(n_chars) AS chunk_size,
+         (list_position(['de', 'en', 'es', 'fr'], lang) * 500)::BIGINT AS chunk_size,
+         1::BIGINT AS workers, min(doc_id) AS run_seq, count(*) AS processed_docs,
          sum(n_chars)::DOUBLE / 1000 AS elapsed_seconds
   FROM documents GROUP BY source, lang)"""
 SPEEDUP = """round(first_value(elapsed_seconds) OVER (PARTITION BY max_docs ORDER BY run_seq)
@@ -406,6 +406,12 @@ def oracle_sql() -> dict[str, str]:
         "run_speedup": f"WITH {EXPERIMENTS} SELECT *, {SPEEDUP} FROM runs",
         "run_series": f"""WITH {EXPERIMENTS}
             SELECT max_docs, chunk_size, elapsed_seconds FROM runs""",
+        "run_table": f"""WITH {EXPERIMENTS} SELECT max_docs,
+            max(elapsed_seconds) FILTER (chunk_size = 500) AS "500",
+            max(elapsed_seconds) FILTER (chunk_size = 1000) AS "1000",
+            max(elapsed_seconds) FILTER (chunk_size = 1500) AS "1500",
+            max(elapsed_seconds) FILTER (chunk_size = 2000) AS "2000"
+            FROM runs GROUP BY max_docs""",
         "candidate_selection": f"""WITH {LD}, guesses AS (
               SELECT 0 AS i, 'length' AS m, sentiment AS a, {GUESS} AS p FROM ld
               UNION ALL SELECT 1, 'language', sentiment,
@@ -431,6 +437,17 @@ def oracle_sql() -> dict[str, str]:
             FROM ranked JOIN e USING (sentiment, term) WHERE rank <= 20""",
         "statistics_roundtrip": f"""WITH {_terms()} SELECT sentiment, term, count FROM counts
             ORDER BY count DESC, term, sentiment LIMIT 50""",
+        "validation_roundtrip": f"""WITH {_shifted()}, t AS (
+              SELECT count(*) AS token_total, count(DISTINCT term) AS unique_terms FROM (
+                SELECT unnest({check}) AS term FROM documents)),
+            c AS (SELECT term, count(*) AS n FROM (
+                SELECT unnest({check}) AS term FROM documents) GROUP BY term)
+            SELECT (SELECT count(*) FROM documents) AS checked_rows, unique_terms, token_total,
+              (SELECT max(n) FROM c) AS highest_count,
+              (SELECT count(*) FROM pairs) AS samples_compared,
+              (SELECT round(avg(CASE WHEN actual = predicted THEN 1::DOUBLE ELSE 0 END), 6)
+               FROM pairs) AS accuracy,
+              (SELECT count(*) FROM pairs) AS matrix_total FROM t""",
         "split_roundtrip": f"""WITH {LD}, s AS (SELECT sentiment,
               CASE WHEN row_number() OVER (PARTITION BY sentiment ORDER BY {SHUFFLE})
                 <= round(0.2::DOUBLE * count(*) OVER (PARTITION BY sentiment))

@@ -462,6 +462,11 @@ def run_series(spark, sf_dir):
     return runs.run_series(fr.experiments(spark, sf_dir))
 
 
+@query
+def run_table(spark, sf_dir):
+    return runs.run_table(fr.experiments(spark, sf_dir), [500, 1000, 1500, 2000])
+
+
 @query
 def candidate_selection(spark, sf_dir):
     rows = fr.labelled(spark, sf_dir, "n_chars", "lang")
@@ -519,6 +524,33 @@ def statistics_roundtrip(spark, sf_dir):
     return spark.read.schema(listed).json(path).select(F.inline("top_terms_overall"))
 
 
+@query
+def validation_roundtrip(spark, sf_dir):
+    path = _folder(spark)
+    rows = fr.docs(spark, sf_dir)
+    check = terms.term_frequency_check(rows, None)
+    found = jobs.validate(_guesses(spark, sf_dir), _shifted_labels(spark, sf_dir))
+    document = writers.validation_document(check, terms.most_common_terms(rows), found)
+    writers.write_json(document, path)
+    saved = spark.read.schema(
+        "term_frequency_validation struct<checked_rows:bigint,unique_terms:bigint,"
+        "token_total:bigint,top_terms:array<struct<term:string,count:bigint>>>,"
+        "sentiment_validation struct<samples_compared:bigint,accuracy:double,"
+        "confusion_matrix:array<array<bigint>>>"
+    ).json(path)
+    cells = F.flatten("sentiment_validation.confusion_matrix")
+    total = F.aggregate(cells, F.lit(0).cast("long"), lambda a, b: a + b)
+    return saved.select(
+        "term_frequency_validation.checked_rows",
+        "term_frequency_validation.unique_terms",
+        "term_frequency_validation.token_total",
+        F.get("term_frequency_validation.top_terms", F.lit(0))["count"].alias("highest_count"),
+        "sentiment_validation.samples_compared",
+        F.round("sentiment_validation.accuracy", 6).alias("accuracy"),
+        total.alias("matrix_total"),
+    )
+
+
 @query
 def split_roundtrip(spark, sf_dir):
     path = _folder(spark)
@@ -559,6 +591,17 @@ def logreg_predictions(spark, sf_dir):
     return selection.predicted(model, rows, ["row_id", "split", "label"])
 
 
+@query
+def complete_run(spark, sf_dir):
+    """Score all documents with a fitted model and write every output."""
+    _, model = _fitted(spark, sf_dir, "high_data_accuracy_logreg")
+    source, path = _folder(spark), _folder(spark)
+    fr.docs(spark, sf_dir).drop("row_id").write.parquet(source)
+    jobs.run(spark, source, path, model, fmt="parquet")
+    saved = readers.read_predictions(spark, f"{path}/predictions", "parquet")
+    return jobs.label_distribution(saved, "group")
+
+
 @query
 def svm_predictions(spark, sf_dir):
     rows, model = _fitted(spark, sf_dir, "linear_svm_word_ngrams")

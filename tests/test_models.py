@@ -49,9 +49,9 @@ def test_candidates_learn_separable_classes(corpus, index):
 def test_saved_model_scores_alike_and_equals_relational_scores(spark, corpus, folder):
     model = cd.fit_candidate(corpus, cd.CANDIDATES[0], max_iter=20)
     writers.save_model(model, folder)
-    loaded = readers_model = writers.load_model(folder)
+    loaded = writers.load_model(folder)
     ours = rows(selection.predicted(model, corpus, ["row_id"]))
-    assert rows(selection.predicted(readers_model, corpus, ["row_id"])) == ours
+    assert rows(selection.predicted(loaded, corpus, ["row_id"])) == ours
     table, intercepts = weights.weights_of(spark, loaded)
     vectoriser = loaded.stages[0].stages[0]
     pairs = list(zip(vectoriser.stages[1].vocabulary, map(float, vectoriser.stages[2].getScalingVec())))
@@ -96,7 +96,7 @@ def test_prepare_training_and_score(spark, corpus):
     raw = corpus.select("row_id", F.col("model_input").alias("text"), F.pmod("row_id", F.lit(3)).alias("label"))
     sources = []
     for name in ("movies", "tweets"):
-        source = readers.labelled(raw, name, f"set-{name}", None if name == "none" else readers.five_class)
+        source = readers.labelled(raw, name, f"set-{name}")
         sources.append(source.withColumn("row_id", F.monotonically_increasing_id()))
     split, cleaning = jobs.prepare_training(sources, sample_rows=50)
     assert tuple(cleaning.first()) == (100, 100, 0)

@@ -43,7 +43,8 @@ def test_query_equals_sql(spark, duck, name):
 def test_only_fitted_models_have_no_sql():
     without = set(entry.queries()) - set(SQL)
     assert without == {
-        "logreg_predictions", "svm_predictions", "relational_logreg", "model_selection"
+        "logreg_predictions", "svm_predictions", "relational_logreg", "model_selection",
+        "complete_run",
     }
 
 
@@ -58,5 +59,12 @@ def test_relational_scores_equal_the_model(spark):
     assert {r["row_id"]: r["predicted_sentiment"] for r in found} == expected
 
 
+def test_complete_run_scores_every_document(spark):
+    found = entry.queries()["complete_run"](spark, str(TABLES))
+    documents = spark.read.parquet(f"{TABLES}/documents.parquet").count()
+    overall = found.where("group is null").agg({"count": "sum"}).first()[0]
+    assert overall == documents
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 60
