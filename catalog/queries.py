@@ -360,7 +360,7 @@ def label_distribution(spark, sf_dir):
 @query
 def document_frequency(spark, sf_dir):
     rows = fr.docs(spark, sf_dir)
-    found = features.term_frequencies(rows, fr.BIGRAMS.terms)
+    found = features.term_statistics(features.term_frequencies(rows, fr.BIGRAMS.terms))
     return features.document_frequency(found, rows.count(), fr.BIGRAMS)
 
 
@@ -368,7 +368,7 @@ def document_frequency(spark, sf_dir):
 def most_frequent_terms(spark, sf_dir):
     rows = fr.docs(spark, sf_dir)
     settings = features.Features(max_features=1000)
-    found = features.term_frequencies(rows, settings.terms)
+    found = features.corpus_statistics(rows, settings)
     return features.document_frequency(found, rows.count(), settings)
 
 

@@ -1,7 +1,7 @@
 """TF-IDF features as long tables ``(row_id, term, weight)``.
 
 ``term_frequencies`` counts terms inside a row, ``term_statistics`` aggregates them
-per term, ``vocabulary`` applies the cuts, ``tfidf`` weighs and normalises.
+per term, ``document_frequency`` applies the cuts, ``tfidf`` weighs and normalises.
 """
 
 from __future__ import annotations
@@ -44,6 +44,14 @@ class Features:
             return F.flatten(grams)
         return tx.word_ngrams(tx.model_words(text), self.low, self.high)
 
+    def distinct_terms(self, text: Column) -> Column:
+        """Each term of a text once."""
+        if self.characters:
+            words = F.array_distinct(tx.blank_separated(text))
+            grams = F.transform(words, lambda word: tx.char_ngrams(word, self.low, self.high))
+            return F.array_distinct(F.flatten(grams))
+        return F.array_distinct(self.terms(text))
+
 
 def term_frequencies(
     df: DataFrame, terms: Callable[[Column], Column], text: str = "text"
@@ -52,6 +60,43 @@ def term_frequencies(
     return df.select("row_id", F.inline(tx.sorted_runs(terms(F.col(text)))))
 
 
+def _placed_frequencies(df: DataFrame, settings: Features, text: str) -> DataFrame:
+    """Term frequencies of documents that are partitioned by row id already.
+
+    Character n-grams are cut from the distinct words of a document and summed per
+    (row id, term), which needs no shuffle there and is faster than sorting them all.
+    """
+    if not settings.characters:
+        return term_frequencies(df, settings.terms, text)
+    runs = tx.sorted_runs(tx.blank_separated(F.col(text)))
+    words = df.select("row_id", F.inline(runs)).select(
+        "row_id", "tf", F.concat(F.lit(" "), F.col("term"), F.lit(" ")).alias("word")
+    )
+    sizes = F.explode(F.sequence(F.lit(settings.low), F.lit(settings.high)))
+    length, size = F.length("word"), F.col("size")
+    sized = words.select("*", sizes.alias("size")).where(
+        (length >= size) | (size == settings.low)
+    )
+    starts = F.explode(F.sequence(F.lit(1), F.greatest(length - size + 1, F.lit(1))))
+    grams = sized.select("*", starts.alias("start")).select(
+        "row_id", "tf", F.substring(F.col("word"), F.col("start"), size).alias("term")
+    )
+    return grams.groupBy("row_id", "term").agg(F.sum("tf").alias("tf"))
+
+
+def document_counts(df: DataFrame, settings: Features, text: str = "text") -> DataFrame:
+    """Documents with each term: ``term, df``; cheaper than all term statistics."""
+    found = df.select(F.explode(settings.distinct_terms(F.col(text))).alias("term"))
+    return found.groupBy("term").agg(F.count("*").alias("df"))
+
+
+def corpus_statistics(df: DataFrame, settings: Features, text: str = "text") -> DataFrame:
+    """What the cuts of ``settings`` need: ``cf`` only if ``max_features`` is set."""
+    if settings.max_features is None:
+        return document_counts(df, settings, text)
+    return term_statistics(term_frequencies(df, settings.terms, text))
+
+
 def term_statistics(frequencies: DataFrame) -> DataFrame:
     """Documents with the term and occurrences in all: ``term, df, cf``."""
     return frequencies.groupBy("term").agg(
@@ -59,15 +104,12 @@ def term_statistics(frequencies: DataFrame) -> DataFrame:
     )
 
 
-def document_frequency(
-    frequencies: DataFrame, n_docs: int, settings: Features, counted: bool = False
-) -> DataFrame:
+def document_frequency(statistics: DataFrame, n_docs: int, settings: Features) -> DataFrame:
     """Term statistics within the cuts ``min_df``, ``max_df`` and ``max_features``.
 
-    Takes term frequencies, or with ``counted`` their statistics. Terms with equal occurrences at the ``max_features`` border are taken in the
+    Terms with equal occurrences at the ``max_features`` border are taken in the
     order of their MD5, which cuts evenly however many there are.
     """
-    statistics = frequencies if counted else term_statistics(frequencies)
     kept = statistics.where(
         (F.col("df") >= settings.min_df)
         & (F.col("df").cast("double") <= F.lit(settings.max_df * n_docs))
@@ -135,17 +177,16 @@ def tfidf(df: DataFrame, settings: Features, text: str = "text") -> DataFrame:
     The vocabulary is written once and counted; it is broadcast if it is small.
     """
     n_docs = df.count()
-    counted = document_frequency(
-        term_frequencies(df, settings.terms, text), n_docs, settings
-    )
+    counted = document_frequency(corpus_statistics(df, settings, text), n_docs, settings)
     vocabulary = materialise(with_idf(counted, n_docs).select("term", "idf"))
     rows = vocabulary.count()
     placed = df.select("row_id", text)
     if rows <= BROADCAST_ROWS:
         # Texts are smaller than their term rows: moved by row id once, the length
         # of a document needs no shuffle of its terms.
-        placed = placed.repartition("row_id")
-    frequencies = term_frequencies(placed, settings.terms, text)
+        frequencies = _placed_frequencies(placed.repartition("row_id"), settings, text)
+    else:
+        frequencies = term_frequencies(placed, settings.terms, text)
     return weigh(frequencies, vocabulary, rows, settings.sublinear)
 
 

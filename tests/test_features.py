@@ -30,6 +30,9 @@ def terms_by_hand(text, settings):
         found = []
         for word in text.lower().split():
             padded = f" {word} "
+            if len(padded) < settings.low:
+                found.append(padded)
+                continue
             for n in range(settings.low, settings.high + 1):
                 found += [padded[i : i + n] for i in range(len(padded) - n + 1)]
         return found
@@ -70,6 +73,7 @@ SETTINGS = [
     ft.Features(low=1, high=3, min_df=3, max_features=25, sublinear=True),
     ft.Features(low=1, high=2, max_features=10),
     ft.Features(low=3, high=5, characters=True, min_df=2, sublinear=True),
+    ft.Features(low=4, high=6, characters=True, max_features=40),
 ]
 
 
