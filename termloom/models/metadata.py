@@ -20,11 +20,9 @@ COUNTED = {"category": "rows_by_category", "label": "rows_by_label",
 
 def parameters(candidate: Candidate) -> dict[str, dict[str, str]]:
     """Settings of a candidate as text, by part of the model."""
-    parts = {"words": candidate.words, "characters": candidate.characters}
     found = {
         name: {k: str(v) for k, v in dataclasses.asdict(part).items()}
-        for name, part in parts.items()
-        if part is not None
+        for name, part in candidate.parts()
     }
     rest = ("classifier", "strength", "max_iter", "balanced")
     found["classifier"] = {name: str(getattr(candidate, name)) for name in rest}
@@ -44,7 +42,6 @@ def training_record(
     ``data`` is aggregated in one pass; the other inputs have a row per candidate or
     per pair of classes.
     """
-    one = F.lit(1).alias("_one")
     rows = corpus_counts(data, list(COUNTED)).where(F.col("value").isNotNull())
     maps = [
         F.map_from_entries(
@@ -55,26 +52,23 @@ def training_record(
         for c, name in COUNTED.items()
     ]
     total = F.sum(F.when(F.col("dimension") == "label", F.col("count"))).alias("total_rows")
-    names = ["total_rows", *COUNTED.values()]
-    training = rows.agg(total, *maps).select(F.struct(*names).alias("training_data"), one)
+    training = rows.agg(F.struct(total, *maps))
     entry = F.struct("candidate_index", "model_name", "accuracy", "f1_macro")
-    candidates = scores.agg(
-        F.max(F.when(F.col("selected"), F.col("model_name"))).alias("selected_candidate"),
-        F.sort_array(F.collect_list(entry)).alias("candidate_validation_scores"),
-    ).select("*", one)
+    listed = scores.agg(F.sort_array(F.collect_list(entry)))
+    selected = scores.where("selected").select("model_name")
     overall = test_metrics(counts)
-    overall = overall.select(F.struct(*overall.columns).alias("metrics"), one)
     per_class = F.struct("class", "precision", "recall", "f1", "support")
-    classes = class_report(counts, SENTIMENTS).agg(
-        F.sort_array(F.collect_list(per_class)).alias("classification_report")
-    )
+    classes = class_report(counts, SENTIMENTS).agg(F.sort_array(F.collect_list(per_class)))
     cell = F.struct("actual", "predicted", "count")
-    matrix = confusion_matrix(counts, SENTIMENTS).agg(
-        F.sort_array(F.collect_list(cell)).alias("confusion_matrix")
-    )
-    record = training
-    for part in (candidates, overall, classes.select("*", one), matrix.select("*", one)):
-        record = record.join(part, "_one")
+    matrix = confusion_matrix(counts, SENTIMENTS).agg(F.sort_array(F.collect_list(cell)))
+    parts = {
+        "selected_candidate": selected,
+        "candidate_validation_scores": listed,
+        "training_data": training,
+        "metrics": overall.select(F.struct(*overall.columns)),
+        "classification_report": classes,
+        "confusion_matrix": matrix,
+    }
     settings = F.create_map(
         *[
             item
@@ -85,8 +79,8 @@ def training_record(
             )
         ]
     )
-    return record.drop("_one").select(
-        "*",
+    return data.sparkSession.range(1).select(
+        *[part.scalar().alias(name) for name, part in parts.items()],
         settings.alias("model_parameters"),
         F.array(*[F.lit(c) for c in SENTIMENTS]).alias("label_format"),
         F.lit(seed).alias("random_state"),

@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.labels import SENTIMENTS
-from termloom.models.candidates import CANDIDATES, Candidate, Statistics, fit_candidate
+from termloom.models.candidates import (
+    CANDIDATES,
+    Candidate,
+    Statistics,
+    fit_candidate,
+    statistics_for,
+)
 from termloom.operators.documents import stratified_split
 from termloom.operators.metrics import accuracy, class_report, metric_averages, pair_counts
 from termloom.operators.runs import best_candidate
@@ -35,31 +43,48 @@ def select_model(
     fraction: float = 0.15,
     seed: int = 42,
     max_iter: int | None = None,
+    parallelism: int = 4,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit every candidate on part of ``train``, score it on the rest, refit the best.
 
-    ``train`` has ``row_id, model_input, label``. Returns the refitted model and the
-    scores, one row per candidate with ``selected``.
+    ``train`` has ``row_id, model_input, label``. Up to ``parallelism`` candidates are
+    fitted at the same time. Returns the refitted model and the scores, one row per
+    candidate with ``selected``.
     """
+    spark = train.sparkSession
     split = materialise(stratified_split(train, fraction, seed=seed, names=("fit", "check")))
     fit, check = split.where(F.col("split") == "fit"), split.where(F.col("split") == "check")
     known: Statistics = {}
-    rows = []
-    for index, candidate in enumerate(candidates):
-        model = fit_candidate(fit, candidate, max_iter=max_iter, known=known)
-        counts = evaluate(model, check)
-        right = accuracy(counts).first()["accuracy"]
-        f1 = metric_averages(class_report(counts)).first()["f1_macro"]
-        rows.append((index, candidate.name, right, f1))
-    scores = train.sparkSession.createDataFrame(rows, SCORES)
+    for candidate in candidates:
+        for _, settings in candidate.parts():
+            statistics_for(fit, settings, "model_input", known)
+
+    @inheritable_thread_target(spark)
+    def score(index: int) -> tuple[int, str, float, float]:
+        model = fit_candidate(fit, candidates[index], max_iter=max_iter, known=known)
+        found = test_metrics(evaluate(model, check), None).first()
+        return index, candidates[index].name, found["accuracy"], found["f1_macro"]
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(score, range(len(candidates)))
+    scores = spark.createDataFrame(rows, SCORES)
     best = best_candidate(scores).first()
     model = fit_candidate(train, candidates[best["candidate_index"]], max_iter=max_iter)
     chosen = F.col("candidate_index") == best["candidate_index"]
     return model, scores.withColumn("selected", chosen)
 
 
-def test_metrics(counts: DataFrame, labels: Sequence[str] = SENTIMENTS) -> DataFrame:
-    """Accuracy with macro and weighted averages as one row."""
-    one = F.lit(1).alias("_one")
-    averages = metric_averages(class_report(counts, labels)).select("*", one)
-    return accuracy(counts).select("*", one).join(averages, "_one").drop("_one")
+def test_metrics(
+    counts: DataFrame, labels: Sequence[str] | None = tuple(SENTIMENTS)
+) -> DataFrame:
+    """Accuracy with macro and weighted averages as one row.
+
+    ``labels=None`` averages over the classes that occur.
+    """
+    averages = metric_averages(class_report(counts, labels))
+    whole = averages.select(F.struct(*averages.columns)).scalar()
+    return (
+        accuracy(counts)
+        .select("*", whole.alias("_averages"))
+        .select("samples_compared", "accuracy", "_averages.*")
+    )

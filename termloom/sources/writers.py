@@ -74,20 +74,15 @@ def statistics_document(statistics: DataFrame, overall: DataFrame) -> DataFrame:
     """Work statistics as one row: a map by sentiment and the overall list."""
     numbers = [c for c in statistics.columns if c != "sentiment"]
     by_sentiment = statistics.agg(
-        F.map_from_entries(F.collect_list(F.struct("sentiment", F.struct(*numbers)))).alias(
-            "sentiment_statistics"
-        )
+        F.map_from_entries(F.collect_list(F.struct("sentiment", F.struct(*numbers))))
     )
     order = F.struct((-F.col("count")).alias("n"), "term", "sentiment")
     entry = F.struct(order.alias("order"), F.struct("term", "sentiment", "count").alias("e"))
-    listed = overall.agg(
-        F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["e"]).alias(
-            "top_terms_overall"
-        )
+    listed = overall.agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["e"]))
+    return statistics.sparkSession.range(1).select(
+        by_sentiment.scalar().alias("sentiment_statistics"),
+        listed.scalar().alias("top_terms_overall"),
     )
-    one = F.lit(1).alias("_one")
-    joined = by_sentiment.select("*", one).join(listed.select("*", one), "_one")
-    return joined.select("sentiment_statistics", "top_terms_overall")
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -149,46 +144,32 @@ def validation_document(
 
     Every input has a row per class, pair of classes or listed term.
     """
-    one = F.lit(1).alias("_one")
+    order = F.struct((-F.col("count")).alias("n"), "first_row_id", "term")
     listed = common.agg(
         F.transform(
-            F.sort_array(
-                F.collect_list(F.struct((-F.col("count")).alias("n"), "first_row_id", "term"))
-            ),
+            F.sort_array(F.collect_list(order)),
             lambda e: F.struct(e["term"].alias("term"), (-e["n"]).alias("count")),
-        ).alias("top_terms")
-    )
-    terms = (
-        check.select("*", one)
-        .join(listed.select("*", one), "_one")
-        .select(F.struct(*check.columns, "top_terms").alias("term_frequency_validation"), "_one")
+        )
     )
-    classes = found["report"].agg(
-        F.map_from_entries(
-            F.sort_array(
-                F.collect_list(
-                    F.struct(
-                        "class",
-                        F.struct("precision", "recall", F.col("f1").alias("f1-score"), "support"),
-                    )
-                )
-            )
-        ).alias("classification_report")
+    per_class = F.struct("precision", "recall", F.col("f1").alias("f1-score"), "support")
+    entries = F.sort_array(F.collect_list(F.struct("class", per_class)))
+    classes = found["report"].agg(F.map_from_entries(entries))
+    cells = F.sort_array(F.collect_list(F.struct("predicted", "count")))
+    lines = (
+        found["matrix"].groupBy("actual").agg(F.transform(cells, lambda c: c["count"]).alias("row"))
     )
-    line = F.struct("predicted", "count")
-    matrix = (
-        found["matrix"]
-        .groupBy("actual")
-        .agg(F.transform(F.sort_array(F.collect_list(line)), lambda c: c["count"]).alias("row"))
-        .agg(
-            F.transform(
-                F.sort_array(F.collect_list(F.struct("actual", "row"))), lambda r: r["row"]
-            ).alias("confusion_matrix")
+    ordered = F.sort_array(F.collect_list(F.struct("actual", "row")))
+    matrix = lines.agg(F.transform(ordered, lambda line: line["row"]))
+    terms = check.select(F.struct(*check.columns, listed.scalar().alias("top_terms")))
+    metrics = found["accuracy"].select(
+        F.struct(
+            "samples_compared",
+            "accuracy",
+            classes.scalar().alias("classification_report"),
+            matrix.scalar().alias("confusion_matrix"),
         )
     )
-    metrics = found["accuracy"].select("*", one)
-    for part in (classes, matrix):
-        metrics = metrics.join(part.select("*", one), "_one")
-    names = ["samples_compared", "accuracy", "classification_report", "confusion_matrix"]
-    metrics = metrics.select(F.struct(*names).alias("sentiment_validation"), "_one")
-    return terms.join(metrics, "_one").drop("_one")
+    return check.sparkSession.range(1).select(
+        terms.scalar().alias("term_frequency_validation"),
+        metrics.scalar().alias("sentiment_validation"),
+    )

@@ -88,7 +88,7 @@ def test_training_record(spark, corpus, folder):
     assert found["training_data"]["rows_by_label"]["neutral"] == 30
     assert found["selected_candidate"] == "baseline"
     assert found["metrics"]["accuracy"] == 0.75
-    assert found["model_parameters"]["words"]["max_features"] == "50000"
+    assert found["model_parameters"]["word"]["max_features"] == "50000"
     assert len(found["confusion_matrix"]) == 9
 
 
