@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from termloom.functions import text as tx
 from termloom.functions.labels import REPORT_ORDER
 from termloom.operators.documents import first_rows
-from termloom.operators.scale import lookup_join
+from termloom.operators.scale import id_range, lookup_join, materialise
 
 Tokeniser = Callable[[Column], Column]
 
@@ -119,7 +119,8 @@ def term_examples(
 
     ``winner_rows`` bounds the rows of ``winners`` (None if unknown). Only winning
     terms enter the window, it carries row ids instead of texts, and each task keeps
-    ``per_term`` ids per term before the shuffle. Texts are fetched for those ids.
+    ``per_term`` ids per term before the shuffle. Texts are fetched for those ids, out
+    of the range they lie in.
     """
     keys, tokenise = list(keys), tokenise or tx.report_tokens
     hits = term_rows(df, ["row_id", *keys], lambda text: F.array_distinct(tokenise(text)))
@@ -132,11 +133,15 @@ def term_examples(
         .where(F.col("example_rank") <= per_term)
         .withColumnRenamed("row_id", "_example")
     )
-    messages = df.select("row_id", "text", F.col("sentiment").alias("sentiment_tag"))
     bound = None if winner_rows is None else winner_rows * per_term
-    small = bound is not None and bound <= _MESSAGE_ROWS
-    side = F.broadcast(chosen) if small else chosen
-    return messages.join(side, F.col("row_id") == F.col("_example")).select(
+    if bound is not None and bound <= _MESSAGE_ROWS:
+        # The earliest ids are low ones: as a plain range they prune the second scan.
+        chosen = materialise(chosen)
+        low, high = id_range(chosen, "_example")
+        df = df.where(F.col("row_id").between(low, high))
+        chosen = F.broadcast(chosen)
+    messages = df.select("row_id", "text", F.col("sentiment").alias("sentiment_tag"))
+    return messages.join(chosen, F.col("row_id") == F.col("_example")).select(
         *keys, "term", "example_rank", "row_id", F.col("text").alias("message"), "sentiment_tag"
     )
 

@@ -38,6 +38,10 @@ def test_query_equals_sql(spark, duck, name):
     theirs = sorted_rows([c[0] for c in result.description], result.fetchall())
     assert ours == theirs
     assert ours[1]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert "EvalPython" not in plan
+    assert ("MapInPandas" in plan) == (name == "external_model")
 
 
 def test_only_fitted_models_have_no_sql():

@@ -174,14 +174,19 @@ def test_frequency_check_of_nothing(spark):
     assert (found["token_total"], found["match_ratio"]) == (1, 0.0)
 
 
-def test_texts_stay_out_of_the_example_window(docs):
-    winners = terms.top_terms(terms.term_counts(docs), 2)
-    plan = terms.term_examples(docs, winners, 6)._jdf.queryExecution().toString()
-    assert "WindowGroupLimit" in plan
+def test_messages_are_read_from_the_range_of_the_chosen_ids(spark, docs, folder):
+    docs.write.parquet(folder)
+    saved = spark.read.parquet(folder)
+    winners = terms.top_terms(terms.term_counts(saved), 2)
+    found = terms.term_examples(saved, winners, 6)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(row_id,0)" in plan and "LessThanOrEqual(row_id," in plan
 
 
 @pytest.mark.parametrize("bound", [6, None])
 def test_examples_with_and_without_a_bound(docs, bound):
     winners = terms.top_terms(terms.term_counts(docs), 2)
     found = terms.term_examples(docs, winners, bound, per_term=2)
+    if bound is None:
+        assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
     assert found.where("term = 'food' and sentiment = 'positive'").count() == 2
