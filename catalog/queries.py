@@ -226,7 +226,7 @@ def top_terms_by_group(spark, sf_dir):
 @query
 def term_examples(spark, sf_dir):
     rows = fr.labelled(spark, sf_dir)
-    winners = terms.top_terms(terms.term_counts(rows), 20)
+    winners = scale.materialise(terms.top_terms(terms.term_counts(rows), 20))
     found = terms.term_examples(rows, winners, winner_rows=60)
     rank = F.col("example_rank").cast("long").alias("example_rank")
     return found.select("sentiment", "term", rank, "row_id", "message")

@@ -117,13 +117,20 @@ def term_examples(
 ) -> DataFrame:
     """Up to ``per_term`` earliest messages of every winning (keys, term).
 
-    ``winner_rows`` bounds the rows of ``winners`` (None if unknown). Only winning
+    ``winner_rows`` bounds the rows of ``winners`` (None if unknown); they are read
+    twice and should be materialised. Only winning
     terms enter the window, it carries row ids instead of texts, and each task keeps
     ``per_term`` ids per term before the shuffle. Texts are fetched for those ids, out
     of the range they lie in.
     """
     keys, tokenise = list(keys), tokenise or tx.report_tokens
-    hits = term_rows(df, ["row_id", *keys], lambda text: F.array_distinct(tokenise(text)))
+    if winner_rows is not None and winner_rows <= _FEW_WINNERS:
+        wanted = winners.agg(F.collect_set("term")).scalar()
+        hits = term_rows(
+            df, ["row_id", *keys], lambda text: F.array_intersect(tokenise(text), wanted)
+        )
+    else:
+        hits = term_rows(df, ["row_id", *keys], lambda text: F.array_distinct(tokenise(text)))
     hits = lookup_join(
         hits, winners.select(*keys, "term"), [*keys, "term"], winner_rows, "row_id"
     )
@@ -146,6 +153,8 @@ def term_examples(
     )
 
 
+# Up to this number of winners, other tokens are dropped inside the row.
+_FEW_WINNERS = 1_000
 # Chosen (term, row id) pairs up to this number are sent to the scan of the texts.
 _MESSAGE_ROWS = 100_000
 

@@ -190,3 +190,4 @@ def test_examples_with_and_without_a_bound(docs, bound):
     if bound is None:
         assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
     assert found.where("term = 'food' and sentiment = 'positive'").count() == 2
+    assert found.where("sentiment = 'negative'").count() == 3
