@@ -435,17 +435,15 @@ def linear_confusion(spark, sf_dir):
     return metrics.confusion_matrix(metrics.pair_counts(pairs), lb.SENTIMENTS)
 
 
-def _load_length_rule():
-    def predict(texts: pd.Series) -> list[str]:
-        sizes = texts.str.len()
-        return ["negative" if n < 600 else "neutral" if n < 1200 else "positive" for n in sizes]
-
-    return predict
-
-
 @query
 def external_model(spark, sf_dir):
-    found = scoring.predict_with(fr.docs(spark, sf_dir), _load_length_rule, batch_rows=500)
+    def load():  # defined here, so that it travels with the job
+        return lambda texts: pd.cut(
+            texts.str.len(), [-1, 599, 1199, float("inf")],
+            labels=["negative", "neutral", "positive"],
+        )
+
+    found = scoring.predict_with(fr.docs(spark, sf_dir), load)
     return found.groupBy("group", "predicted_sentiment").agg(F.count("*").alias("count"))
 
 

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.operators import documents
+
 from termloom.functions.labels import SENTIMENTS
 from termloom.operators.scale import lookup_join
 
@@ -57,30 +59,25 @@ def best_class(classes: Sequence[str] = SENTIMENTS, digits: int | None = None) -
 
 
 def predict_with(
-    df: DataFrame,
-    load: Callable[[], Callable[[pd.Series], Sequence[str]]],
-    batch_rows: int | None = None,
+    df: DataFrame, load: Callable[[], Callable[[pd.Series], Sequence[str]]]
 ) -> DataFrame:
     """Score documents with a model that only Python can run.
 
-    ``load`` runs once per task and returns a function from a batch of texts to
-    labels. Batches arrive through Arrow; their size does not change the result.
+    ``load`` runs once per task and returns a function from the texts of one Arrow
+    batch to labels. The size of a batch is Spark's
+    ``spark.sql.execution.arrow.maxRecordsPerBatch`` and does not change the result. A
+    ``load`` defined inside a function travels with the job; one that lives in a module
+    of the caller needs that module on the workers (``SparkContext.addPyFile``).
     """
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = None
+        predict = load()
         for batch in batches:
-            predict = predict or load()
-            size = batch_rows or max(1, len(batch))
-            for start in range(0, len(batch), size):
-                piece = batch.iloc[start : start + size]
-                labels = [str(label) for label in predict(piece["text"])]
-                yield piece.assign(predicted_sentiment=labels)
-
-    documents = df.select(
-        F.col("row_id").cast("long").alias("row_id"),
-        F.coalesce(F.col("group").cast("string"), F.lit("unknown")).alias("group"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+            yield batch.assign(predicted_sentiment=[str(c) for c in predict(batch["text"])])
+
+    row_id = F.col("row_id").cast("long").alias("row_id")
+    rows = documents.normalise(df.withColumn("row_id", row_id), keep=["row_id"])
+    schema = "row_id long, text string, group string, predicted_sentiment string"
+    return rows.mapInPandas(score, schema).select(
+        "row_id", "group", "text", "predicted_sentiment"
     )
-    schema = "row_id long, group string, text string, predicted_sentiment string"
-    return documents.mapInPandas(score, schema)

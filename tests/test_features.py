@@ -151,13 +151,15 @@ def test_ties_go_to_the_first_class(spark):
     assert [r[0] for r in df.select(scoring.best_class()).collect()] == ["negative", "negative"]
 
 
-@pytest.mark.parametrize("batch", [None, 1, 7])
-def test_external_model_does_not_depend_on_the_batch(docs, batch):
+@pytest.mark.parametrize("batch", ["10000", "1", "7"])
+def test_external_model_does_not_depend_on_the_batch(spark, docs, batch):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
     def load():
         return lambda texts: ["long" if len(t) > 60 else "short" for t in texts]
 
     df = docs.withColumn("group", F.lit(None).cast("string"))
-    found = scoring.predict_with(df, load, batch).collect()
+    found = scoring.predict_with(df, load).collect()
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(found) == docs.count()
     assert all(r["group"] == "unknown" for r in found)
     assert all((r["predicted_sentiment"] == "long") == (len(r["text"]) > 60) for r in found)
