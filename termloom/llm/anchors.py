@@ -81,7 +81,7 @@ def by_class(live: DataFrame) -> DataFrame:
     whole = found.groupBy("k").agg(
         F.count("*").alias("classes"), F.min("first").alias("least")
     )
-    return found.join(whole.where("classes > 1"), "k", "left")
+    return found.join(kept(whole.where("classes > 1"), "open"), "k", "left")
 
 
 def asked(open_classes: DataFrame) -> DataFrame:

@@ -58,7 +58,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         "windows",
     )
     first = windows.groupBy("h", "g").agg(F.min("place").alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1").drop("n")
+    # Written before the join, so that adaptive execution can split its hot keys.
+    first = kept(first.where("n > 1").drop("n"), "first")
     later = windows.join(first, ["h", "g"]).where(F.col("place") > F.col("first"))
     spots = later.groupBy(F.col("place.doc_id").alias("_id"), F.col("place.mark").alias("_mark")).agg(
         F.collect_set("place.at").alias("spots")

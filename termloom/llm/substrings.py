@@ -121,24 +121,28 @@ def repeats(rows: DataFrame) -> DataFrame:
     """``id, mark, runs``: starts and counts of the windows that an earlier document has."""
     found = _units(rows)
     shared = found.groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
-    live = kept(found.join(shared.select("k"), "k", "left_semi"), "units")
+    live = kept(found.join(kept(shared.select("k"), "grams"), "k", "left_semi"), "units")
     classes = kept(anchors.by_class(live), "classes")
     opened = kept(_opened(rows, classes.where("classes > 1")), "opened")
 
-    index = _emitted(opened, "blocks").groupBy("h").agg(F.min("id").alias("least"))
+    # Aggregates are written before they are joined: a join of two plain shuffles is one
+    # whose hot keys adaptive execution can split.
+    index = kept(_emitted(opened, "blocks").groupBy("h").agg(F.min("id").alias("least")), "index")
     probes = _emitted(opened, "probes").select("h", "id", "k", "e", "place")
     hits = probes.join(index, "h").where("least < id").select("k", "e", F.col("place").alias("hit"))
-    hits = hits.groupBy("k", "e").agg(F.collect_list("hit").alias("hits"))  # a class's own few words
+    # A class has a few words, so its lists of hits and places are short.
+    hits = kept(hits.groupBy("k", "e").agg(F.collect_set("hit").alias("hits")), "hits")
     windows = kept(_emitted(opened, "windows"), "windows")
-    reference = windows.groupBy("h", "g").agg(F.min("id").alias("least"))
+    reference = kept(windows.groupBy("h", "g").agg(F.min("id").alias("least")), "reference")
     near = windows.join(hits, ["k", "e"]).where(
         F.exists("hits", lambda x: (x >= F.col("place")) & (x <= F.col("place") + (WINDOW - BLOCK)))
     )
     extended = near.join(reference, ["h", "g"]).where("least < id")
-    own = extended.groupBy("k", "e").agg(F.collect_list("place").alias("places"))
+    own = extended.groupBy("k", "e").agg(F.collect_set("place").alias("places"))
 
-    classes = classes.join(own, ["k", "e"], "left").where("last > first OR places IS NOT NULL")
-    joined = live.join(classes.select("k", "e", "first", "places"), ["k", "e"])
+    done = classes.join(own, ["k", "e"], "left").where("last > first OR places IS NOT NULL")
+    done = kept(done.select("k", "e", "first", "places"), "done")
+    joined = live.join(done, ["k", "e"])
     at = anchors.first_of().cast("long")
     every = F.array(F.struct(at.alias("start"), F.col("shape").cast("long").alias("count")))
     some = F.transform(
