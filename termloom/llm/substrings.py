@@ -91,28 +91,30 @@ def _emitted(opened: DataFrame, what: str) -> DataFrame:
     """Rows ``h, g, id, k, e, place`` of the classes: their index blocks, their probes, or
     their windows (``place`` from the class's first word; ``g`` is 0 but for windows)."""
 
+    size = WINDOW if what == "windows" else BLOCK
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(6)]
+            lengths = batch["words"].value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             flat = batch["words"].flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            ends = np.cumsum(batch["words"].value_lengths().to_numpy(zero_copy_only=False))
+            # All classes of the batch at once; runs that cross from one to the next go.
+            starts = np.cumsum(lengths) - lengths
+            row = np.repeat(np.arange(len(lengths)), np.maximum(lengths - size + 1, 0))
+            if not len(row):
+                continue
+            counts = np.bincount(row, minlength=len(lengths))
+            place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             meta = [batch[c].to_numpy(zero_copy_only=False) for c in ("id", "k", "e", "at")]
-            for i, end in enumerate(ends):
-                words = flat[(ends[i - 1] if i else 0) : end]
-                size = WINDOW if what == "windows" else BLOCK
-                h = grams(words, size)
-                g = grams(words, size, SECOND) if what == "windows" else np.zeros(len(h), np.uint64)
-                place = np.arange(len(h))
-                if what == "blocks":
-                    fixed = (place + meta[3][i]) % BLOCK == 0
-                    h, g, place = h[fixed], g[fixed], place[fixed]
-                same = [np.full(len(h), meta[j][i], np.int64) for j in range(3)]
-                for column, values in zip(out, (signed(h), signed(g), *same, place.astype(np.int32)), strict=True):
-                    column.append(values)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in out], ["h", "g", "id", "k", "e", "place"]
-                )
+            if what == "blocks":
+                fixed = (place + meta[3][row]) % BLOCK == 0
+                row, place = row[fixed], place[fixed]
+            spots = starts[row] + place
+            h = signed(grams(flat, size)[spots])
+            g = signed(grams(flat, size, SECOND)[spots]) if what == "windows" else np.zeros(len(h), np.int64)
+            made = [h, g, *(m[row] for m in meta[:3]), place.astype(np.int32)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in made], ["h", "g", "id", "k", "e", "place"]
+            )
 
     return opened.mapInArrow(run, "h long, g long, id long, k long, e long, place int")
 
