@@ -198,14 +198,16 @@ def _single_windows(slices: DataFrame) -> DataFrame:
         ),
         "windows",
     )
-    many = windows.groupBy("h", "g").count().where("count > 1").select("h", "g")
+    many = kept(windows.groupBy("h", "g").count().where("count > 1").select("h", "g"), "many")
     return windows.join(many, ["h", "g"], "left_semi").select("k", "e", "at")
 
 
 def repeats(rows: DataFrame) -> DataFrame:
     """``id, mark, runs``: starts and counts of the repeated windows of each document."""
     found = _units(rows)
-    shared = found.groupBy("k").count().where("count > 1").select("k")
+    # Aggregates are written before they are joined: a join of two plain shuffles is one
+    # whose hot keys adaptive execution can split.
+    shared = kept(found.groupBy("k").count().where("count > 1").select("k"), "grams")
     live = kept(found.join(shared, "k", "left_semi"), "units")
     classes = kept(anchors.by_class(live), "classes")
     slices = kept(_slices(rows, classes.where("classes > 1")), "slices")
@@ -217,7 +219,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     own = single.groupBy("k", "e").agg(F.collect_set("at").alias("places"))
 
     done = classes.join(own, ["k", "e"], "left").where("copies > 1 OR places IS NOT NULL")
-    joined = live.join(done.select("k", "e", "copies", "places"), ["k", "e"])
+    joined = live.join(kept(done.select("k", "e", "copies", "places"), "done"), ["k", "e"])
     at = anchors.first_of().cast("long")
     count = F.shiftright("shape", 9).cast("long")
     every = F.array(F.struct(at.alias("start"), count.alias("count")))
