@@ -74,6 +74,24 @@ def _running(
     return joined.withColumn("upto", F.col("before") + F.col("_local")).drop("_local", "_piece")
 
 
+def _cut(rows: DataFrame, order: Sequence[Column | str], budget: int) -> DataFrame:
+    """The first rows in ``order`` whose sizes add up to no more than the budget.
+
+    Slices of the order (``_piece``) before the one that crosses the budget are taken whole;
+    only the rows of that one are put in order.
+    """
+    sums = rows.groupBy("_piece").agg(F.sum("size").alias("sum"))  # one row per slice
+    upto = F.sum("sum").over(W.orderBy("_piece").rowsBetween(W.unboundedPreceding, 0))
+    beyond = sums.withColumn("upto", upto).where(F.col("upto") > F.lit(budget))
+    crossing = beyond.agg(F.min(F.struct("_piece", (F.col("upto") - F.col("sum")).alias("before")))).first()[0]
+    if crossing is None:
+        return rows
+    here = W.partitionBy("_piece").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    last = rows.where(F.col("_piece") == crossing["_piece"]).withColumn("_upto", F.sum("size").over(here))
+    last = last.where(F.col("_upto") <= budget - crossing["before"]).drop("_upto")
+    return rows.where(F.col("_piece") < crossing["_piece"]).unionByName(last)
+
+
 def sized(docs: DataFrame) -> DataFrame:
     """``rid, doc_id, source, size``, written once so that every step sees the same rows."""
     size = F.size(words_of(F.col("text").cast("string"))).cast("long").alias("size")
@@ -110,9 +128,8 @@ def plan(rows: DataFrame) -> DataFrame:
     slices = max(64, EPOCHS * count // PIECE)
     piece = F.least(F.floor(F.col("finish") * slices), F.lit(2 * slices)).cast("long")
     order = ["finish", F.col("source").isNull(), "source", "epoch", "_hash", "size", "rid"]
-    merged = _running(queue, [], piece, order, "size")
-    taken = merged.where(F.col("upto") <= F.lit(budget or 0))
-    taken = taken.groupBy("rid").agg(F.sum("size").alias("taken"))
+    merged = _cut(queue.withColumn("_piece", piece), order, budget or 0)
+    taken = merged.groupBy("rid").agg(F.sum("size").alias("taken"))
     out = rows.join(named, rows["source"].eqNullSafe(named["_source"])).join(taken, "rid", "left")
     return out.select(
         "rid", "doc_id", "source", "size", "source_size", "target",
