@@ -28,7 +28,7 @@ AROUND = 3
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+_DOTTED = re.compile(r"[0-9][0-9.]*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -51,13 +51,17 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def addresses(text: str) -> Iterator[tuple[int, int]]:
     """Four dotted numbers at a time from each run of dotted numbers."""
     for run in _DOTTED.finditer(text):
-        parts, start = run[0].split("."), run.start()
-        for k in range(0, len(parts) - 3, 4):
-            four = parts[k : k + 4]
-            end = start + len(".".join(four))
-            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in four):
-                yield start, end
-            start = end + 1
+        four, start, at = [], run.start(), run.start()
+        for part in run[0].split("."):
+            if not four:
+                start = at
+            four = [*four, part] if part else []
+            at += len(part)
+            if len(four) == 4:
+                if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in four):
+                    yield start, at
+                four = []
+            at += 1
 
 
 def luhn(digits: str) -> bool:
@@ -112,7 +116,12 @@ LABELLED = [
     ("mail me: bob99@mail.example.org.", "ooe"),
     ("contact info@example.net, or ask", "oeoo"),
     ("send it to a.b+c@sub.example.co.uk now", "oooeo"),
-    ("the old root@localhost account was closed", "oeoooo"),
+    ("the old root@localhost account was closed", "oooooo"),
+    ("ask tim_7@host.example.com, please", "oeo"),
+    ("mail: kate88@corp.example.com now", "oeo"),
+    ("from x1y2@site2.example.org; and more", "oeoo"),
+    ("reply to: z-9@example.net thanks, bye", "ooeoo"),
+    ("cc team.42@list.example.info, today", "oeo"),
     ("server 10.0.0.12 is down", "oioo"),
     ("login from 192.168.1.77 at 10:45", "ooioo"),
     ("host 172.16.254.1:8080 answered", "oio"),
@@ -291,13 +300,14 @@ def plausible(kind: str, found: str) -> bool:
 
 
 def decoded(text: str, runs: list[list[tuple[int, int]]], labels: list[np.ndarray]) -> list[tuple[int, int, str]]:
-    """Spans of equal labels, without punctuation at the ends."""
+    """Spans of the labels, without punctuation at the ends."""
     out = []
     for run, marks in zip(runs, labels, strict=True):
         i = 0
         while i < len(run):
             j = i
-            while j + 1 < len(run) and marks[j + 1] == marks[i]:
+            # Cards and phone numbers may have blanks inside, the others are one word.
+            while LABELS[marks[i]] in ("card", "phone") and j + 1 < len(run) and marks[j + 1] == marks[i]:
                 j += 1
             if marks[i]:
                 start, end = run[i][0], run[j][1]
