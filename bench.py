@@ -71,12 +71,16 @@ def main() -> None:
         frames.labelled(spark, sf_dir, "lang").withColumnRenamed("sentiment", "label"), "lang"
     )
     chosen = next(c for c in CANDIDATES if c.name == "high_data_accuracy_logreg")
-    model = fit_candidate(train.select("row_id", "label", "model_input"), chosen, max_iter=20)
+    model = fit_candidate(train.select("row_id", "label", "model_input"), chosen)
     folder = tempfile.mkdtemp(prefix="bench-")
     source = f"{folder}/documents"
-    frames.docs(spark, sf_dir).write.parquet(source)
+    frames.docs(spark, sf_dir, "lang").write.parquet(source)
     n_docs = spark.read.parquet(source).count()
-    seconds["run"] = timed(lambda: jobs.run(spark, source, f"{folder}/out", model, fmt="parquet"))
+    seconds["run"] = timed(
+        lambda: jobs.run(
+            spark, source, f"{folder}/out", model, fmt="parquet", category_col="lang"
+        )
+    )
 
     print(
         json.dumps(

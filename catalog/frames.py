@@ -47,8 +47,12 @@ def guessed(n_chars: Column) -> Column:
 
 
 def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents with null and blank texts, null labels and null groups."""
-    rows = labelled(spark, sf_dir, "lang")
+    """All documents with null and blank texts and null labels; neutral without a label."""
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("row_id"), sentiment().alias("sentiment")
+    )
+    rows = docs(spark, sf_dir, "lang").join(labels, "row_id", "left")
+    rows = rows.withColumn("sentiment", F.coalesce("sentiment", F.lit("neutral")))
     text = (
         F.when(F.col("group") == "src3", F.lit(None))
         .when(F.col("group") == "src4", F.lit(" \t\n"))

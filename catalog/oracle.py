@@ -83,7 +83,7 @@ LD = """ld AS (
          CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'positive'
               ELSE 'neutral' END AS sentiment
   FROM documents d JOIN labels l USING (doc_id))"""
-GAPPY = f"""{LD}, gappy AS (
+GAPPY = f"""{LD.replace("JOIN labels", "LEFT JOIN labels")}, gappy AS (
   SELECT row_id, grp, lang,
          CASE WHEN grp = 'src3' THEN NULL
               WHEN grp = 'src4' THEN ' ' || chr(9) || chr(10) ELSE text END AS text,
@@ -391,12 +391,12 @@ def oracle_sql() -> dict[str, str]:
         "tfidf_word": f"""WITH {DOCS}, {_tf('docs', _model_words('text'))},
             {_weights('true', False)}
             SELECT row_id, term, round(weight, 6) AS weight FROM tfidf""",
-        "tfidf_bigram": f"""WITH {LD}, {_bigrams('ld')}, {_weights(BIGRAM_CUT, True)}
+        "tfidf_bigram": f"""WITH {DOCS}, {_bigrams('docs')}, {_weights(BIGRAM_CUT, True)}
             SELECT row_id, term, round(weight, 6) AS weight FROM tfidf""",
-        "tfidf_char": f"WITH {LD}, {_characters('ld')}, {_weights('df >= 2', True)} {SUMMARY}",
-        "tfidf_union": f"""WITH words AS (WITH {LD}, {_bigrams('ld')},
+        "tfidf_char": f"WITH {DOCS}, {_characters('docs')}, {_weights('df >= 2', True)} {SUMMARY}",
+        "tfidf_union": f"""WITH words AS (WITH {DOCS}, {_bigrams('docs')},
               {_weights(BIGRAM_CUT, True)} {union_part} tfidf),
-            chars AS (WITH {LD}, {_characters('ld')}, {_weights('df >= 2', True)}
+            chars AS (WITH {DOCS}, {_characters('docs')}, {_weights('df >= 2', True)}
               SELECT 'char' AS part, weight FROM tfidf)
             SELECT part, count(*) AS features, round(sum(weight), 2) AS weight_sum
             FROM (SELECT * FROM words UNION ALL SELECT * FROM chars) GROUP BY part""",
@@ -462,7 +462,10 @@ def oracle_sql() -> dict[str, str]:
               (SELECT count(*) FROM pairs) AS samples_compared,
               (SELECT round(avg(CASE WHEN actual = predicted THEN 1::DOUBLE ELSE 0 END), 6)
                FROM pairs) AS accuracy,
-              (SELECT count(*) FROM pairs) AS matrix_total FROM t""",
+              (SELECT count(*) FROM pairs) AS matrix_total,
+              (SELECT count(*) FROM pairs) AS support,
+              (SELECT round(avg(CASE WHEN actual = predicted THEN 1::DOUBLE ELSE 0 END), 6)
+               FROM pairs) AS weighted_recall FROM t""",
         "split_roundtrip": f"""WITH {LD}, s AS (SELECT sentiment,
               CASE WHEN row_number() OVER (PARTITION BY sentiment ORDER BY {SHUFFLE})
                 <= round(0.2::DOUBLE * count(*) OVER (PARTITION BY sentiment))

@@ -383,7 +383,7 @@ def tfidf_word(spark, sf_dir):
 
 @query
 def tfidf_bigram(spark, sf_dir):
-    return _weights(features.tfidf(fr.labelled(spark, sf_dir), fr.BIGRAMS))
+    return _weights(features.tfidf(fr.docs(spark, sf_dir), fr.BIGRAMS))
 
 
 def _summary(weights_table):
@@ -396,12 +396,12 @@ def _summary(weights_table):
 
 @query
 def tfidf_char(spark, sf_dir):
-    return _summary(features.tfidf(fr.labelled(spark, sf_dir), fr.CHARACTERS))
+    return _summary(features.tfidf(fr.docs(spark, sf_dir), fr.CHARACTERS))
 
 
 @query
 def tfidf_union(spark, sf_dir):
-    rows = fr.labelled(spark, sf_dir)
+    rows = fr.docs(spark, sf_dir)
     parts = {name: features.tfidf(rows, s) for name, s in
              {"word": fr.BIGRAMS, "char": fr.CHARACTERS}.items()}
     united = features.feature_union(parts)
@@ -530,22 +530,25 @@ def validation_roundtrip(spark, sf_dir):
     found = jobs.validate(_guesses(spark, sf_dir), _shifted_labels(spark, sf_dir))
     document = writers.validation_document(check, terms.most_common_terms(rows), found)
     writers.write_json(document, path)
-    saved = spark.read.schema(
-        "term_frequency_validation struct<checked_rows:bigint,unique_terms:bigint,"
-        "token_total:bigint,top_terms:array<struct<term:string,count:bigint>>>,"
-        "sentiment_validation struct<samples_compared:bigint,accuracy:double,"
-        "confusion_matrix:array<array<bigint>>>"
-    ).json(path)
+    saved = readers.read_validation(spark, path)
+    averages = F.from_json(
+        F.element_at("sentiment_validation.classification_report", F.lit("weighted avg")),
+        "support long, recall double",
+    )
     cells = F.flatten("sentiment_validation.confusion_matrix")
     total = F.aggregate(cells, F.lit(0).cast("long"), lambda a, b: a + b)
     return saved.select(
         "term_frequency_validation.checked_rows",
         "term_frequency_validation.unique_terms",
         "term_frequency_validation.token_total",
-        F.get("term_frequency_validation.top_terms", F.lit(0))["count"].alias("highest_count"),
+        F.get(F.get("term_frequency_validation.top_terms", F.lit(0)), F.lit(1))
+        .cast("long")
+        .alias("highest_count"),
         "sentiment_validation.samples_compared",
         F.round("sentiment_validation.accuracy", 6).alias("accuracy"),
         total.alias("matrix_total"),
+        averages["support"].alias("support"),
+        F.round(averages["recall"], 6).alias("weighted_recall"),
     )
 
 
@@ -580,7 +583,7 @@ def _fitted(spark, sf_dir, name):
     rows = _training(spark, sf_dir)
     chosen = next(c for c in candidates.CANDIDATES if c.name == name)
     train = rows.where(F.col("split") == "train")
-    return rows, candidates.fit_candidate(train, chosen, max_iter=50)
+    return rows, candidates.fit_candidate(train, chosen)
 
 
 @query
@@ -594,8 +597,8 @@ def complete_run(spark, sf_dir):
     """Score all documents with a fitted model and write every output."""
     _, model = _fitted(spark, sf_dir, "high_data_accuracy_logreg")
     source, path = _folder(spark), _folder(spark)
-    fr.docs(spark, sf_dir).drop("row_id").write.parquet(source)
-    jobs.run(spark, source, path, model, fmt="parquet")
+    fr.docs(spark, sf_dir, "lang").drop("row_id").write.parquet(source)
+    jobs.run(spark, source, path, model, fmt="parquet", category_col="lang")
     saved = readers.read_predictions(spark, f"{path}/predictions", "parquet")
     return jobs.label_distribution(saved, "group")
 
@@ -626,5 +629,5 @@ def relational_logreg(spark, sf_dir):
 @query
 def model_selection(spark, sf_dir):
     train = _training(spark, sf_dir).where(F.col("split") == "train").drop("split")
-    _, scores = selection.select_model(train, max_iter=25)
+    _, scores = selection.select_model(train)
     return scores

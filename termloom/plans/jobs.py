@@ -18,17 +18,24 @@ from termloom.operators.scale import materialise, number_files, number_rows, spr
 from termloom.sources import readers, writers
 
 
-def score(docs: DataFrame, model: PipelineModel, max_docs: int | None = None) -> DataFrame:
+def score(
+    docs: DataFrame,
+    model: PipelineModel,
+    max_docs: int | None = None,
+    category_col: str | None = None,
+) -> DataFrame:
     """Predictions ``row_id, group, text, predicted_sentiment``.
 
-    Documents without a ``row_id`` are numbered in input order first.
+    Documents without a ``row_id`` are numbered in input order first. With a
+    ``category_col`` its value is put in front of the text, as in training.
     """
     if "row_id" not in docs.columns:
         docs = number_rows(docs)
     if max_docs is not None:
         docs = documents.first_rows(docs, max_docs)
     keep = ["row_id", "group", "text"]
-    return predicted(model, docs.withColumn("model_input", F.col("text")), keep)
+    text = F.col("text") if category_col is None else F.concat_ws(" ", category_col, "text")
+    return predicted(model, docs.withColumn("model_input", text), keep)
 
 
 def score_sources(
@@ -149,33 +156,38 @@ def run(
     group_col: str = "group",
     max_docs: int | None = None,
     top_n: int = 20,
-    ordered: bool = True,
+    ordered: bool = False,
+    category_col: str | None = None,
+    predictions_fmt: str = "parquet",
 ) -> DataFrame:
     """Read documents, score them, write predictions, report, statistics and summary.
 
     Predictions are written first and read back, so a lost executor never repeats
-    the scoring and nothing has to stay in memory. ``ordered=False`` leaves out the
-    sort of the documents by row id, the only shuffle of their texts.
+    the scoring and nothing has to stay in memory. Rows keep the order of the input, which
+    is that of the row ids where they are given here; ``ordered=True`` sorts the documents
+    by row id first, the only shuffle of their texts. ``category_col`` names the column that
+    the model was trained with in front of the text.
     """
     started = time.perf_counter()
     source = readers.read_table(spark, input_path, fmt)
     if "row_id" not in source.columns and fmt == "parquet":
         source = number_files(spark, input_path)
-    keep = ["row_id"] if "row_id" in source.columns else []
+    numbered = "row_id" in source.columns
+    keep = [c for c in ("row_id", category_col) if c in source.columns]
     docs = documents.normalise(source, text_col, group_col, keep)
-    if keep:
+    if numbered:
         docs = docs.withColumn("row_id", F.col("row_id").cast("long"))
     else:
         docs = number_rows(docs)
     # Sorted before scoring: the sampling of a sort would score everything twice.
     placed = docs.orderBy("row_id") if ordered else spread(docs, "row_id")
-    scored = score(placed, model, max_docs)
+    scored = score(placed, model, max_docs, category_col)
     paths = {
         name: f"{output_dir.rstrip('/')}/{name}"
         for name in ("predictions", "report", "statistics")
     }
-    writers.write_predictions(scored, paths["predictions"], ordered=False)
-    saved = readers.read_predictions(spark, paths["predictions"], "parquet")
+    writers.write_predictions(scored, paths["predictions"], predictions_fmt, ordered=False)
+    saved = readers.read_predictions(spark, paths["predictions"], predictions_fmt)
     profile = materialise(terms.corpus_profile(spread(_sentiments(saved), "row_id")))
     report = term_report(saved, top_n, profile=profile)
     writers.write_json(writers.report_document(report), paths["report"])

@@ -29,6 +29,7 @@ PREDICTIONS = T.StructType(
         T.StructField("predicted_sentiment", T.StringType(), False),
     ]
 )
+# The columns of the run table and the fields of the validation record.
 RUNS = "max_docs long, chunk_size long, workers long, elapsed_seconds double, " \
     "processed_docs long, speedup_vs_first_chunk double"
 _ENTRY = "struct<term:string,count:bigint,examples:array<struct<message:string,sentiment_tag:string>>>"

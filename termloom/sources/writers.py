@@ -148,12 +148,27 @@ def validation_document(
     listed = common.agg(
         F.transform(
             F.sort_array(F.collect_list(order)),
-            lambda e: F.struct(e["term"].alias("term"), (-e["n"]).alias("count")),
+            lambda e: F.array(e["term"], (-e["n"]).cast("string")),
         )
     )
-    per_class = F.struct("precision", "recall", F.col("f1").alias("f1-score"), "support")
-    entries = F.sort_array(F.collect_list(F.struct("class", per_class)))
-    classes = found["report"].agg(F.map_from_entries(entries))
+    fields = ["class", "precision", "recall", "f1", F.col("support").cast("long").alias("support")]
+    lines = found["report"].select(F.lit(0).alias("part"), *fields)
+    total = found["report"].agg(F.sum("support").cast("long")).scalar()
+    none = F.lit(None).cast("double")
+    parts = [F.lit(1).alias("part"), F.lit("accuracy").alias("class"), none.alias("precision")]
+    parts += [none.alias("recall"), F.col("accuracy").alias("f1"), total.alias("support")]
+    lines = lines.unionByName(found["accuracy"].select(*parts))
+    for part, name, suffix in ((2, "macro avg", "macro"), (3, "weighted avg", "weighted")):
+        values = [F.col(f"{x}_{suffix}").alias(x) for x in ("precision", "recall", "f1")]
+        lines = lines.unionByName(
+            found["averages"].select(
+                F.lit(part).alias("part"), F.lit(name).alias("class"), *values, total.alias("support")
+            )
+        )
+    value = F.struct("precision", "recall", F.col("f1").alias("f1-score"), "support")
+    entries = F.sort_array(F.collect_list(F.struct("part", "class", value.alias("value"))))
+    plain = F.transform(entries, lambda e: F.struct(e["class"], e["value"]))
+    classes = lines.agg(F.map_from_entries(plain))
     cells = F.sort_array(F.collect_list(F.struct("predicted", "count")))
     lines = (
         found["matrix"].groupBy("actual").agg(F.transform(cells, lambda c: c["count"]).alias("row"))

@@ -113,11 +113,19 @@ def test_large_vocabulary_uses_the_salted_join(docs, monkeypatch):
     assert all(found[k] == pytest.approx(usual[k]) for k in usual)
 
 
-def test_vocabulary_beyond_the_driver_is_hashed(docs, monkeypatch):
-    monkeypatch.setattr("termloom.models.vectoriser.VOCABULARY_ROWS", 5)
-    model = fit_vectoriser(docs, SETTINGS[1], text="text")
-    sizes = {r["word"].size for r in model.transform(docs).select("word").collect()}
-    assert sizes == {1 << 21}
+def test_the_vocabulary_is_exact(docs):
+    """Whatever its size: the vectors hold the weights of the long table."""
+    model = fit_vectoriser(docs, SETTINGS[4], text="text")
+    long = ft.tfidf(docs, SETTINGS[4])
+    vocabulary = model.stages[1].vocabulary
+    assert len(vocabulary) == long.select("term").distinct().count()
+    found = {}
+    for r in model.transform(docs).select("row_id", "word").collect():
+        for i, w in zip(r["word"].indices, r["word"].values, strict=True):
+            found[r["row_id"], vocabulary[i]] = w
+    want = {(r["row_id"], r["term"]): r["weight"] for r in long.collect()}
+    assert found.keys() == want.keys()
+    assert all(found[k] == pytest.approx(want[k]) for k in want)
 
 
 def test_feature_union_keeps_parts_apart(docs):

@@ -99,7 +99,7 @@ def test_written_validation_document(spark, predictions, folder):
     writers.write_json(document, folder)
     found = spark.read.schema(
         "term_frequency_validation struct<checked_rows:bigint,match_ratio:double,"
-        "top_terms:array<struct<term:string,count:bigint>>>,"
+        "top_terms:array<array<string>>>,"
         "sentiment_validation struct<samples_compared:bigint,accuracy:double,"
         "classification_report:map<string,struct<`f1-score`:double,support:bigint>>,"
         "confusion_matrix:array<array<bigint>>>"
@@ -109,7 +109,14 @@ def test_written_validation_document(spark, predictions, folder):
     metrics_found = found["sentiment_validation"]
     assert (metrics_found["samples_compared"], metrics_found["accuracy"]) == (6, 1.0)
     assert metrics_found["confusion_matrix"] == [[1, 0, 0], [0, 2, 0], [0, 0, 3]]
-    assert metrics_found["classification_report"]["positive"]["support"] == 3
+    report = metrics_found["classification_report"]
+    assert report["positive"]["support"] == 3
+    assert {"accuracy", "macro avg", "weighted avg"} < set(report)
+    assert report["accuracy"]["f1-score"] == report["macro avg"]["f1-score"] == 1.0
+    ours = readers.read_validation(spark, folder).first()
+    assert all(len(pair) == 2 for pair in ours["term_frequency_validation"]["top_terms"])
+    assert ours["term_frequency_validation"]["top_terms"]
+    assert json.loads(ours["sentiment_validation"]["classification_report"]["weighted avg"])["support"] == 6
 
 
 def test_validation_document(spark, tmp_path):
