@@ -18,7 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates."""
+    """One document of each group of near duplicates: fingerprints within two bits, or a
+    five-word similarity of 0.8."""
     return simhash.distinct_documents(docs)
 
 

@@ -65,11 +65,60 @@ def test_classes(docs, clashing, empty, rows):
     for frame in (docs, clashing):
         found = simhash.classes(frame).select("doc_id", "fp", "component_id").collect()
         assert sorted(((a, b % 2**64, c) for a, b, c in found), key=str) == want
-        assert simhash.distinct_documents(frame).count() == len(set(roots.values()))
-        assert simhash.distinct_documents(frame).columns == frame.columns
+        # Row 3 is row 1 with one word changed: another class, but a near copy.
+        distinct = simhash.distinct_documents(frame)
+        assert distinct.count() == len(set(roots.values())) - (roots[prints[0]] != roots[prints[2]])
+        assert {1, 4, 5, 6, 16} <= {r["doc_id"] for r in distinct.collect()}
+        assert distinct.columns == frame.columns
     assert simhash.classes(empty).count() == simhash.distinct_documents(empty).count() == 0
 
 
+def brute_similarity(a, b):
+    def shingles(text):
+        words = WORD.findall(text.lower().encode())
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+def test_near_copies_go_and_others_stay(spark):
+    made = random.Random(5)
+    passage = prose(50, 40)
+    rows = []
+    for group in range(12):
+        base = f"{prose(100 + group, made.randint(50, 400))} {passage}".split()
+        for copy in range(made.randint(1, 8)):
+            words = list(base)
+            for _ in range(made.randint(0, len(words) // 30) if copy else 0):
+                words[made.randrange(len(words))] = f"w{made.random()}"
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = {r["doc_id"]: r["text"] for r in simhash.distinct_documents(docs).collect()}
+    # Nothing similar is left, and what went is connected to what stayed.
+    assert all(brute_similarity(a, b) < 0.8 for a, b in itertools.combinations(left.values(), 2))
+    reached, grown = set(left), True
+    while grown:
+        new = {i for i, t in rows if i not in reached and any(brute_similarity(t, rows[j][1]) >= 0.8 for j in reached)}
+        grown = bool(new)
+        reached |= new
+    assert reached == {i for i, _ in rows}
+
+
+def test_similar_texts_have_equal_slices():
+    made, words = np.random.default_rng(8), simhash.WordHashes()
+    for size in (40, 63, 64, 70, 127, 130, 1000, 3000):
+        met = 0
+        for _ in range(50):
+            x = made.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2)
+            y = x.copy()
+            y[: round(size / 9)] += np.uint64(1) << np.uint64(62)  # similarity 0.8
+            met += bool(np.intersect1d(simhash.slice_hashes(np.unique(x)), simhash.slice_hashes(np.unique(y))).size)
+        assert met >= 45, (size, met)
+    assert not simhash.slice_hashes(simhash.wide_shingles(b"", words)).size
+    assert simhash.slice_hashes(simhash.wide_shingles(b"one", words)).size == 1
+
+
 def test_components_of_fingerprints_a_few_bits_apart(spark):
     made = np.random.default_rng(2)
     prints = set()
