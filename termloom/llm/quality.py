@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.common import SPACE, kept, let, words_of
+from termloom.operators import scale
 
 MIN_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
@@ -149,7 +150,13 @@ def fit(rows: DataFrame) -> DataFrame:
     ]
     sized = rows.groupBy("key").agg(F.count("*").alias("n"), *middle).where(F.col("n") >= MIN_GROUP)
     sized = kept(sized.drop("n"), "mcd")
-    centred = rows.join(sized, "key")
+    groups = sized.count()
+
+    def beside(estimates: DataFrame, each: int = 1) -> DataFrame:
+        """``rows`` with the estimates of their group; the rows stay where they are."""
+        return scale.lookup_join(rows, estimates, ["key"], each * groups, "x0")
+
+    centred = beside(sized)
     spread = [
         F.percentile_approx(F.abs(F.col(f"x{i}") - F.col(f"c{i}")), 0.5, ACCURACY).alias(f"a{i}")
         for i in range(DIM)
@@ -168,22 +175,22 @@ def fit(rows: DataFrame) -> DataFrame:
     own = [F.sqrt((1.4826 * F.col(f"a{i}")) ** 2 + F.lit(RIDGE[i])) for i in range(DIM)]
     model = kept(start(0, own).unionByName(start(1, [F.lit(1.0)] * DIM)), "mcd")
     for _ in range(STEPS):
-        away = rows.join(model, "key").withColumn("d", _distance())
+        away = beside(model, 2).withColumn("d", _distance())
         border = away.groupBy("key", "start").agg(
             F.percentile_approx("d", SHARE, ACCURACY).alias("q")
         )
         # The border goes with the estimate: one narrow table per step.
         bordered = kept(model.join(border, ["key", "start"]), "mcd")
-        near = rows.join(bordered, "key").where(_distance() <= F.col("q"))
+        near = beside(bordered, 2).where(_distance() <= F.col("q"))
         model = kept(_estimate(near.select("key", "start", *_x()), ["key", "start"]), "mcd")
     fields = [c for c in model.columns if c not in ("key", "det", "start")]
     best = model.groupBy("key").agg(F.min(F.struct("det", "start", *fields)).alias("b"))
     best = best.select("key", *[F.col(f"b.{c}").alias(c) for c in fields])
-    scaled = rows.join(best, "key").groupBy("key").agg(
+    scaled = beside(best).groupBy("key").agg(
         F.percentile_approx(_distance(), 0.5, ACCURACY).alias("middle")
     )
-    scale = F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1e-6)).alias("scale")
-    return kept(best.join(scaled, "key").select("key", *fields, scale), "mcd")
+    width = F.greatest(F.col("middle") / CHI2_MEDIAN, F.lit(1e-6)).alias("scale")
+    return kept(best.join(scaled, "key").select("key", *fields, width), "mcd")
 
 
 def _x() -> list[str]:
@@ -207,7 +214,8 @@ def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
     x = [v.alias(f"x{i}") for i, v in enumerate(_vector())]
     counted = kept(counted.select("*", base_failed().alias("base_failed"), *x), "quality")
     usable = counted.where(~F.col("base_failed")).select("key", *_x())
-    placed = counted.join(fit(usable), "key", "left")
+    estimates = fit(usable)
+    placed = scale.lookup_join(counted, estimates, ["key"], estimates.count(), "x0", "left")
     outlier = F.coalesce(_distance() / F.col("scale") > CUT, F.lit(False))
     verdict = (~F.col("base_failed") & ~outlier).alias("kept")
     return placed.select("row", *COUNTS, "base_failed", verdict)
