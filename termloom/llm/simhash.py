@@ -209,9 +209,12 @@ def similar(texts: DataFrame) -> DataFrame:
     met = keys.join(chosen, "key").where("node != least")
     pairs = met.select(F.greatest("node", "least").alias("a"), F.least("node", "least").alias("b"))
     pairs = kept(pairs.distinct(), "pairs")
+    # All texts are shuffled once; those that no pair names go no further.
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = kept(texts.join(nodes, "node", "left_semi"), "wanted")
     # Few members first, the choices of large groups last: adaptive execution sees their bytes.
     for side in ("a", "b"):
-        named = texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
+        named = wanted.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = pairs.join(named, side)
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
 
