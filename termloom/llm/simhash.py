@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.common import ODD, WordHashes, grams, kept, mark, mixed, text_bytes
@@ -75,22 +75,32 @@ def fingerprint(text: bytes) -> int:
     return int(bits.view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, fp``: the fingerprint of every row as a signed long."""
+def fingerprints(docs: DataFrame, sliced: bool = False) -> DataFrame:
+    """``doc_id, mark, fp``: the fingerprint of every row as a signed long.
+
+    With ``sliced`` also ``keys``, the slices of its five-word shingles, so that the texts are
+    read once for both.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes()
         for batch in batches:
-            found = np.array([fingerprint(t) for t in text_bytes(batch["text"])], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["mark"], pa.array(found.view(np.int64))],
-                ["doc_id", "mark", "fp"],
-            )
+            texts = text_bytes(batch["text"])
+            found = np.array([fingerprint(t) for t in texts], np.uint64)
+            columns = [batch["doc_id"], batch["mark"], pa.array(found.view(np.int64))]
+            if sliced:
+                slices = [slice_hashes(wide_shingles(t, words)) for t in texts]
+                ends = np.cumsum([0, *map(len, slices)]).astype(np.int32)
+                keys = np.concatenate([np.zeros(0, np.uint64), *slices]).view(np.int64)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(keys)))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     text = F.col("text").cast("string")
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), mark(text).alias("mark"), text.alias("text")
     )
-    return slim.mapInArrow(run, "doc_id long, mark long, fp long")
+    names = ["doc_id", "mark", "fp", *["keys"] * sliced]
+    return slim.mapInArrow(run, "doc_id long, mark long, fp long" + ", keys array<long>" * sliced)
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -140,7 +150,11 @@ def classes(docs: DataFrame) -> DataFrame:
     Rows with equal ids or texts are rows of their own. ``root`` is the least fingerprint
     of the class, ``component_id`` the smallest id in it; rows without an id never give one.
     """
-    prints = kept(fingerprints(docs), "prints")
+    return _rooted(kept(fingerprints(docs), "prints"))
+
+
+def _rooted(prints: DataFrame) -> DataFrame:
+    """``prints`` (written) with ``root`` and ``component_id``."""
     ids = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(ids.select("fp")))
     roots = roots.select(F.col("a").alias("fp"), F.col("b").alias("root"))
@@ -174,15 +188,6 @@ def slice_hashes(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
-    for batch in batches:
-        found = [slice_hashes(wide_shingles(t, words)) for t in text_bytes(batch["text"])]
-        nodes = np.repeat(np.asarray(batch["node"]), [len(x) for x in found])
-        keys = np.concatenate([np.zeros(0, np.uint64), *found])
-        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(keys.view(np.int64))], ["node", "key"])
-
-
 def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordHashes()
     for batch in batches:
@@ -195,66 +200,82 @@ def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(stays, pa.bool_()))
 
 
-def similar(texts: DataFrame) -> DataFrame:
-    """Edges ``a > b`` between rows (``node, text``) of at least ``SIMILARITY``.
+def _candidates(slices: DataFrame) -> DataFrame:
+    """Pairs ``a > b`` of nodes to compare; ``slices`` has ``node, key``.
 
     Every slice chooses one member and the others are compared with it, so a large group
     costs as many comparisons as it has members, not pairs; slices choose in
     ``ORDERS`` different ways, so members that one choice leaves apart meet by another.
     """
-    keys = kept(texts.mapInArrow(_sliced, "node long, key long"), "slices")
     way = F.get(F.array(*[F.lit(_long(x)) for x in ORDERS]), F.col("key").bitwiseAND(F.lit(len(ORDERS) - 1)).cast("int"))
-    chosen = keys.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(way)).alias("best"), F.count("*").alias("n"))
+    chosen = slices.groupBy("key").agg(F.min(F.col("node").bitwiseXOR(way)).alias("best"), F.count("*").alias("n"))
     chosen = kept(chosen.where("n > 1").select("key", F.col("best").bitwiseXOR(way).alias("least")), "chosen")
-    met = keys.join(chosen, "key").where("node != least")
+    met = slices.join(chosen, "key").where("node != least")
     pairs = met.select(F.greatest("node", "least").alias("a"), F.least("node", "least").alias("b"))
-    pairs = kept(pairs.distinct(), "pairs")
-    # All texts are shuffled once; those that no pair names go no further.
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = kept(texts.join(nodes, "node", "left_semi"), "wanted")
+    return kept(pairs.distinct(), "pairs")
+
+
+def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs of at least ``SIMILARITY``; ``texts`` has ``node, text``, each node once."""
     # Few members first, the choices of large groups last: adaptive execution sees their bytes.
     for side in ("a", "b"):
-        named = wanted.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
+        named = texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = pairs.join(named, side)
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
 
 
-def _first_of_classes(docs: DataFrame) -> DataFrame:
-    """One document of each class of fingerprints, the one with the smallest id."""
-    found = classes(docs)
+def _identity(number: Column, own: Column) -> list[Column]:
+    """Id and mark of a row as two keys that are never null; marks of rows without id are
+    negative."""
+    return [
+        F.coalesce(number, F.lit(0).cast("long")).alias("_id"),
+        F.when(number.isNull(), F.bitwise_not(own)).otherwise(own).alias("_mark"),
+    ]
+
+
+def _first_of_classes(prints: DataFrame) -> DataFrame:
+    """One document of each class of fingerprints, the one with the smallest id:
+    ``_id, _mark, node`` and how many ``rows`` share id and text."""
+    found = _rooted(prints.select("doc_id", "mark", "fp"))
     least = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = least.groupBy("root").agg(F.min(F.struct("mark", "fp", "doc_id")).alias("f"))
-    chosen = chosen.select(F.col("f.doc_id").alias("_id"), F.col("f.mark").alias("_mark"))
-    rows = docs.select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
-        F.col("doc_id").cast("long").alias("_id"),
-        mark(F.col("text").cast("string")).alias("_mark"),
-    )
-    same = rows["_id"].eqNullSafe(chosen["_id"]) & (rows["_mark"] == chosen["_mark"])
-    one = rows.join(chosen, same, "left_semi").dropDuplicates(["_id", "_mark"])
-    return one.select("_row.*")
+    each = least.groupBy("root", "doc_id", "mark").agg(F.count("*").alias("rows"))
+    one = each.groupBy("root").agg(F.min(F.struct("mark", "doc_id", "rows")).alias("f"))
+    keys = one.select(*_identity(F.col("f.doc_id"), F.col("f.mark")), F.col("f.rows").alias("rows"))
+    return keys.withColumn("node", F.xxhash64("_id", "_mark"))
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id, with all its
     columns.
 
-    Groups are the classes of fingerprints first, then what links of ``similar`` connect
+    Groups are the classes of fingerprints first, then what links of ``_similar`` connect
     among the documents left. A group in which no row has an id keeps one of its rows; rows
     that share id and text count as one. Texts without words are copies of each other.
+
+    Decisions are made on narrow tables. These are written, so Spark knows their size and
+    broadcasts what is below its threshold; beyond it the texts are shuffled twice, for the
+    comparison and for the result.
     """
     text = F.col("text").cast("string")
-    number = F.col("doc_id").cast("long")
-    rows = _first_of_classes(docs).select(
-        F.struct(*[F.col(c) for c in docs.columns]).alias("_row"),
-        number.alias("_id"),
-        F.xxhash64(number, text).alias("node"),
-    )
-    rows = kept(rows, "firsts")
-    edges = similar(rows.select("node", F.col("_row.text").cast("string").alias("text")))
-    linked = components(edges).select(F.col("a").alias("node"), F.col("b").alias("root"))
+    own = _identity(F.col("doc_id").cast("long"), mark(text))
+    prints = kept(fingerprints(docs, sliced=True), "prints")
+    firsts = kept(_first_of_classes(prints), "firsts")
+    keyed = prints.select(*_identity(F.col("doc_id"), F.col("mark")), "keys")
+    slices = keyed.join(firsts, ["_id", "_mark"]).select("node", F.explode("keys").alias("key"))
+    pairs = _candidates(slices)
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = kept(firsts.join(nodes, "node", "left_semi").drop("rows"), "nodes")
+    texts = docs.select(*own, text.alias("text")).join(nodes, ["_id", "_mark"])
+    texts = kept(texts.select("node", "text").dropDuplicates(["node"]), "texts")
+    linked = components(_similar(pairs, texts)).select(F.col("a").alias("node"), F.col("b").alias("root"))
     linked = linked.unionByName(linked.select(F.col("root").alias("node"), "root").distinct())
-    members = kept(rows.select("_id", "node").join(linked, "node"), "members")
-    first = members.groupBy("root").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "node"))["node"].alias("first"))
+    members = kept(firsts.join(linked, "node"), "members")
+    order = F.struct(F.col("_mark") < 0, "_id", "node")
+    first = members.groupBy("root").agg(F.min(order)["node"].alias("first"))
     gone = members.join(first, "root").where("node != first").select("node")
-    return rows.join(gone, "node", "left_anti").select("_row.*")
+    stay = kept(firsts.join(gone, "node", "left_anti").drop("node"), "stay")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *own)
+    rows = rows.join(stay, ["_id", "_mark"], "left_semi")
+    if not stay.where("rows > 1").isEmpty():
+        rows = rows.dropDuplicates(["_id", "_mark"])
+    return rows.select("_row.*")
