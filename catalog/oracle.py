@@ -450,6 +450,17 @@ def oracle_sql() -> dict[str, str]:
               count(*) AS examples FROM ex WHERE example_rank <= 5 GROUP BY ALL)
             SELECT sentiment, rank, term, count, examples
             FROM ranked JOIN e USING (sentiment, term) WHERE rank <= 20""",
+        "group_report_roundtrip": f"""WITH {_group_terms()}
+            SELECT grp AS "group", sentiment, term, count, rank FROM ranked WHERE rank <= 20""",
+        "csv_sources": """SELECT doc_id AS row_id, coalesce(text, '') AS text,
+              CASE WHEN n_chars % 5 IN (0, 1) THEN 'negative' WHEN n_chars % 5 = 2
+                THEN 'neutral' ELSE 'positive' END AS label,
+              'articles' AS category, 'documents' AS source_dataset FROM documents
+            UNION ALL SELECT doc_id, coalesce(text, ''), NULL, 'plain', 'documents'
+            FROM documents""",
+        "chart_labels": f"""WITH {DOCS} SELECT {GUESS} AS predicted_sentiment, count(*) AS count
+            FROM docs GROUP BY ALL""",
+        "saved_model": f"""WITH {LD} SELECT count(*) AS documents, count(*) AS same FROM ld""",
         "statistics_roundtrip": f"""WITH {_terms()} SELECT sentiment, term, count FROM counts
             ORDER BY count DESC, term, sentiment LIMIT 50""",
         "validation_roundtrip": f"""WITH {_shifted()}, t AS (

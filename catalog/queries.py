@@ -348,6 +348,15 @@ def validation(spark, sf_dir):
     return _six(found["report"], "precision", "recall", "f1")
 
 
+@query
+def chart_labels(spark, sf_dir):
+    """The label counts among the chart tables."""
+    report = jobs.term_report(_predictions(spark, sf_dir), 20, by_group=True)
+    counts, guesses = _pairs(spark, sf_dir), _guesses(spark, sf_dir)
+    speedup = runs.run_speedup(fr.experiments(spark, sf_dir))
+    return jobs.chart_data(speedup, counts, report, guesses)["label_counts"]
+
+
 @query
 def label_distribution(spark, sf_dir):
     rows = _guesses(spark, sf_dir).withColumnRenamed("group", "category")
@@ -513,6 +522,29 @@ def report_roundtrip(spark, sf_dir):
                         .alias("examples"))
 
 
+@query
+def group_report_roundtrip(spark, sf_dir):
+    path = _folder(spark)
+    report = jobs.term_report(_predictions(spark, sf_dir), 20, by_group=True)
+    writers.write_group_report(report, path)
+    found = readers.read_report(spark, path, by_group=True, lines=True)
+    return found.select("group", "sentiment", "term", "count", "rank")
+
+
+@query
+def csv_sources(spark, sf_dir):
+    """A labelled and an unlabelled source, read from CSV files."""
+    path = _folder(spark)
+    label = F.pmod("n_chars", F.lit(5)).alias("label")
+    writers.write_csv(fr.table(spark, sf_dir, "documents").select("doc_id", "text", label), path)
+    labelled = readers.read_labelled(spark, path, "articles", "documents", keep=["doc_id"])
+    plain = readers.read_labelled(spark, path, "plain", "documents", mapping=None, keep=["doc_id"])
+    both = labelled.unionByName(plain, allowMissingColumns=True)
+    text = F.coalesce("text", F.lit("")).alias("text")
+    row_id = F.col("doc_id").cast("long").alias("row_id")
+    return both.select(row_id, text, "label", "category", "source_dataset")
+
+
 @query
 def statistics_roundtrip(spark, sf_dir):
     path = _folder(spark)
@@ -592,6 +624,19 @@ def logreg_predictions(spark, sf_dir):
     return selection.predicted(model, rows, ["row_id", "split", "label"])
 
 
+@query
+def saved_model(spark, sf_dir):
+    """A model that was saved and loaded decides like the one that was fitted."""
+    rows, model = _fitted(spark, sf_dir, "baseline")
+    path = _folder(spark)
+    writers.save_model(model, path)
+    first = selection.predicted(model, rows, ["row_id"])
+    again = selection.predicted(writers.load_model(path), rows, ["row_id"])
+    both = first.join(again.withColumnRenamed("predicted_sentiment", "again"), "row_id")
+    same = F.count_if(F.col("predicted_sentiment") == F.col("again")).alias("same")
+    return both.agg(F.count("*").alias("documents"), same)
+
+
 @query
 def complete_run(spark, sf_dir):
     """Score all documents with a fitted model and write every output."""

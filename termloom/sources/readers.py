@@ -106,14 +106,17 @@ def read_predictions(
     return spark.read.schema(PREDICTIONS).format(fmt).load(path)
 
 
-def read_report(spark: SparkSession, path: str, by_group: bool = False) -> DataFrame:
+def read_report(
+    spark: SparkSession, path: str, by_group: bool = False, lines: bool = False
+) -> DataFrame:
     """Term report JSON as rows ``[group,] sentiment, term, count, examples, rank``.
 
     The global layout is one object with a list per sentiment, the other layout has
-    such an object per group. A report only holds the top terms.
+    such an object per group. A report only holds the top terms. A file is one object;
+    with ``lines`` every line is one, as ``write_group_report`` leaves them.
     """
     lists = f"map<string,array<{_ENTRY}>>"
-    whole = spark.read.text(path, wholetext=True)
+    whole = spark.read.text(path, wholetext=not lines)
     if by_group:
         parsed = F.from_json("value", f"map<string,{lists}>")
         groups = whole.select(F.explode(parsed).alias("group", "lists"))

@@ -57,6 +57,14 @@ def group_report_documents(
     return _nested(report, ["group"], sentiments)
 
 
+def write_group_report(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Report by group as lines ``{group: {list per sentiment}}``, one group in each."""
+    documents = group_report_documents(report)
+    lists = F.struct(*[c for c in documents.columns if c != "group"])
+    line = F.to_json(F.create_map("group", lists)).alias("value")
+    documents.select(line).write.mode(mode).text(path)
+
+
 def _nested(report: DataFrame, keys: list[str], sentiments: Sequence[str]) -> DataFrame:
     fields = ["rank", "term", "count"]
     fields += ["examples"] if "examples" in report.columns else []
