@@ -105,6 +105,44 @@ def test_near_copies_go_and_others_stay(spark):
     assert reached == {i for i, _ in rows}
 
 
+@pytest.mark.parametrize("block", [1 << 22, 20_000])
+def test_star_of_copies_that_are_near_the_original_only(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    made = random.Random(9)
+    base = prose(70, 200).split()
+    rows = [(0, " ".join(base)), (1000, prose(71, 200))]
+    for copy in range(1, 301):
+        words = list(base)
+        for at in made.sample(range(200), 4):
+            words[at] = f"w{made.random()}"
+        rows.append((copy, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r["doc_id"] for r in simhash.distinct_documents(docs).collect()) == [0, 1000]
+
+
+def test_forest_connects_what_all_pairs_connect(monkeypatch):
+    made = np.random.default_rng(6)
+    sets = []
+    for _ in range(12):
+        base = made.integers(0, 2**62, 60)
+        sets += [np.unique(np.concatenate([base[made.integers(0, 12) :], made.integers(0, 2**62, 2)])) for _ in range(8)]
+    want = {i: i for i in range(len(sets))}
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        x, y = set(sets[i].tolist()), set(sets[j].tolist())
+        if len(x & y) >= 0.8 * len(x | y):
+            old, new = want[j], want[i]
+            want = {k: new if v == old else v for k, v in want.items()}
+    for dense in (simhash.DENSE, 0):
+        monkeypatch.setattr(simhash, "DENSE", dense)
+        edges = simhash.forest(np.arange(len(sets)), sets)
+        label = {i: i for i in range(len(sets))}
+        for a, b in edges:
+            assert a > b and want[a] == want[b]
+            old, new = label[a], label[b]
+            label = {k: new if v == old else v for k, v in label.items()}
+        assert len(set(label.values())) == len(set(want.values())) == len(sets) - len(edges)
+
+
 def test_similar_texts_have_equal_slices():
     made, words = np.random.default_rng(8), simhash.WordHashes()
     for size in (40, 63, 64, 70, 127, 130, 1000, 3000):
