@@ -5,6 +5,7 @@ For each (language, source) a minimum-covariance-determinant estimate is fitted:
 two starts, concentration steps keep the ``SHARE`` of documents nearest to the centre
 and estimate centre and covariance anew; the start that ends with the smaller
 determinant wins. Documents beyond a cut of the Mahalanobis distance are rejected.
+Small groups take the estimate of their language, or of all documents.
 
 All of it is DataFrame work: text counts are expressions inside the scan, each
 step is one partial aggregate over the narrow statistics, a quantile sketch
@@ -24,8 +25,11 @@ MIN_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 SHARE = 0.75
 STEPS = 3
-#: Groups with fewer usable documents get no verdict of the method.
+#: Groups with fewer usable documents are judged by the estimate of their language, and
+#: languages with fewer by that of all documents; only fewer in all get no verdict.
 MIN_GROUP = 50
+#: The group of all documents.
+ALL = "all"
 #: Cut of the squared distance, after its median is set to that of chi-squared with 4
 #: degrees of freedom; far in the tail, so that clean documents stay.
 CUT = 60.0
@@ -197,24 +201,50 @@ def _x() -> list[str]:
     return [f"x{i}" for i in range(DIM)]
 
 
+def _levels(usable: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, by``: the group that judges each group; and the rows under every group that
+    judges one, ``key, x0..x3``.
+
+    ``usable`` has ``key, above, x0..x3``, ``above`` being the group of the language.
+    """
+    groups = kept(usable.groupBy("key", "above").agg(F.count("*").alias("n")), "groups")
+    small = F.col("n") < MIN_GROUP
+    langs = groups.groupBy("above").agg(F.sum("n").alias("total"), F.max(small).alias("asked"))
+    langs = kept(langs, "groups")
+    enough, asked = F.col("total") >= MIN_GROUP, F.col("asked")
+    found = langs.agg(F.sum("total").alias("n"), F.max(asked & ~enough).alias("asked")).first()
+    last = F.lit(ALL if found["asked"] and found["n"] >= MIN_GROUP else None).cast("string")
+    by = F.when(~small, F.col("key")).when(enough, F.col("above")).otherwise(last)
+    above = F.when(asked & enough, F.col("above"))
+    levels = F.array_compact(F.array(F.when(~small, F.col("key")), above, last))
+    placed = kept(groups.join(langs, "above").select("key", by.alias("by"), levels.alias("levels")), "groups")
+    rows = scale.lookup_join(usable, placed.select("key", "levels"), ["key"], placed.count(), "x0")
+    rows = rows.select(F.explode("levels").alias("key"), *_x())
+    return placed.select("key", "by"), kept(rows, "usable")
+
+
 def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
     """``carry`` columns in a struct ``row``, the counts, ``base_failed`` and ``kept``.
 
     Null text counts as empty and fails the base rules. Null language or source is a
     group of its own. Documents that fail the base rules take no part in estimates.
-    Groups too small for an estimate keep what passes the base rules. Rows with equal
-    ids are judged each on its own; other columns of ``docs`` change nothing.
+    Groups too small for an estimate are judged by that of their language, then of all
+    documents; under ``MIN_GROUP`` usable documents in all, what passes the base rules is
+    kept. Rows with equal ids are judged each on its own; other columns of ``docs`` change nothing.
     """
     group = F.to_json(F.struct(F.col("lang").alias("l"), F.col("source").alias("s")))
+    above = F.concat(F.lit("lang"), F.to_json(F.struct(F.col("lang").alias("l"))))
     counted = docs.select(
         F.struct(*[F.col(c) for c in carry]).alias("row"),
         group.alias("key"),
+        above.alias("above"),
         text_counts(F.col("text").cast("string")).alias("c"),
-    ).select("row", "key", *[F.col(f"c.{c}").alias(c) for c in COUNTS])
+    ).select("row", "key", "above", *[F.col(f"c.{c}").alias(c) for c in COUNTS])
     x = [v.alias(f"x{i}") for i, v in enumerate(_vector())]
     counted = kept(counted.select("*", base_failed().alias("base_failed"), *x), "quality")
-    usable = counted.where(~F.col("base_failed")).select("key", *_x())
-    estimates = fit(usable)
+    groups, usable = _levels(counted.where(~F.col("base_failed")).select("key", "above", *_x()))
+    estimates = fit(usable).withColumnRenamed("key", "by")
+    estimates = kept(groups.join(estimates, "by").drop("by"), "mcd")
     placed = scale.lookup_join(counted, estimates, ["key"], estimates.count(), "x0", "left")
     outlier = F.coalesce(_distance() / F.col("scale") > CUT, F.lit(False))
     verdict = (~F.col("base_failed") & ~outlier).alias("kept")

@@ -344,6 +344,17 @@ def test_outliers_go_and_clean_documents_stay(spark, docs):
     assert kept == set(range(150))
 
 
+def test_small_groups_are_judged_by_their_language_or_all(spark, docs):
+    good = [(i, prose(i, 100 + i * 7 % 400), "en", "a", 0) for i in range(150)]
+    good += [(i, prose(i, 100 + i * 7 % 400), "en", "b" if i % 2 else None, 0) for i in range(150, 170)]
+    good += [(i, prose(i, 100 + i * 7 % 400), "de" if i % 2 else None, "a", 0) for i in range(170, 190)]
+    places = [("en", "b"), ("en", None), ("en", "c"), ("de", "a"), (None, "a"), ("fr", "d")]
+    odd = [(1000 + i, " ".join(w + "###%%" for w in prose(i, 90).split()), *p, 0) for i, p in enumerate(places)]
+    frame = spark.createDataFrame(good + odd, docs.schema)
+    kept = {r["row"]["doc_id"] for r in quality.judged(frame, ["doc_id"]).where("kept").collect()}
+    assert kept == set(range(190))
+
+
 def test_estimate_equals_numpy(spark):
     made = np.random.default_rng(4)
     x = made.normal(size=(60, 4)) @ made.normal(size=(4, 4))
