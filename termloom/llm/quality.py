@@ -23,7 +23,7 @@ from termloom.operators import scale
 
 MIN_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
-SHARE = 0.75
+SHARE = 0.5
 STEPS = 3
 #: Groups with fewer usable documents are judged by the estimate of their language, and
 #: languages with fewer by that of all documents; only fewer in all get no verdict.

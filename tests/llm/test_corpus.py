@@ -355,6 +355,14 @@ def test_small_groups_are_judged_by_their_language_or_all(spark, docs):
     assert kept == set(range(190))
 
 
+def test_junk_of_two_fifths_goes(spark, docs):
+    good = [(i, prose(i, 100 + i * 7 % 400), "en", "a", 0) for i in range(150)]
+    odd = [(1000 + i, " ".join(w + "###%%" for w in prose(i, 90).split()), "en", "a", 0) for i in range(100)]
+    frame = spark.createDataFrame(good + odd, docs.schema)
+    kept = {r["row"]["doc_id"] for r in quality.judged(frame, ["doc_id"]).where("kept").collect()}
+    assert kept == set(range(150))
+
+
 def test_estimate_equals_numpy(spark):
     made = np.random.default_rng(4)
     x = made.normal(size=(60, 4)) @ made.normal(size=(4, 4))
