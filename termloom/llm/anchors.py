@@ -28,7 +28,8 @@ def slim(docs: DataFrame) -> DataFrame:
     return docs.select(
         number.alias("doc_id"),
         F.coalesce(number, F.lit(LAST_ID)).alias("id"),
-        mark(text).alias("mark"),
+        # 31 bits, since a unit carries them in one long with its place.
+        mark(text).bitwiseAND(F.lit(0x7FFFFFFF)).alias("mark"),
         F.coalesce(text, F.lit("")).alias("text"),
     )
 

@@ -101,5 +101,5 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 def mark(text: Column) -> Column:
-    """31 bits of a text: tells rows with the same id and another text apart."""
-    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(0x7FFFFFFF))
+    """64 bits of a text: tells rows with the same id and another text apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))

@@ -16,11 +16,13 @@ most ``BLOCK_BYTES`` of text, one pass over the documents for each.
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,6 +154,12 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, bytes]]]:
         yield [(r["item_id"], r["text"].encode()) for r in part.orderBy("item_id").collect()]
 
 
+def _sent(docs: DataFrame, block: list[tuple[int, bytes]]) -> Broadcast:
+    """A block of the benchmark, prepared and broadcast with its class, so that workers need
+    no copy of this package."""
+    return docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(Benchmark(block)))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, similarity, first_word, n_words`` for each leaked item.
 
@@ -163,10 +171,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
     out = docs.sparkSession.createDataFrame([], schema)
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(Benchmark(block))
+        sent = _sent(docs, block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            words, known = WordHashes(), sent.value
+            words, known = WordHashes(), pickle.loads(sent.value)
             for batch in batches:
                 rows = [
                     (doc_id, *x)
@@ -185,12 +193,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that leak no item, with all their columns."""
+    """The documents that leak no item, with all their columns.
+
+    Documents without words (null, empty) stay, as do all under a benchmark without items or
+    with null texts only. Repeated rows are judged each on its own, ids play no part, and
+    further columns are kept, whatever their names. An empty table stays empty.
+    """
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(Benchmark(block))
+        sent = _sent(docs, block)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            words, known = WordHashes(), sent.value
+            words, known = WordHashes(), pickle.loads(sent.value)
             for batch in batches:
                 texts = text_bytes(batch["text"].cast(pa.string()))
                 stays = [not known.leaks(words.of(tokens(t))) for t in texts]

@@ -156,7 +156,7 @@ ROUNDS, RATE, PENALTY = 200, 0.3, 0.02
 
 def shape(word: str) -> str:
     """Letters as X and x, digits as d, other characters as they are; runs shortened to two."""
-    return re.sub(r"(.)\1{2,}", r"\1\1", word[:64].translate(_SHAPES))
+    return re.sub(r"(.)\1{2,}", r"\1\1", word.translate(_SHAPES))
 
 
 def possible(word: str) -> bool:

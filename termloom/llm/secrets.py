@@ -40,12 +40,11 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 
 # The method's weak parts.
 _LOGIN = re.compile(
-    r"""(?i:user(?:name)?|login|account|client|(?:access_?)?key)[_-]?(?i:id)?["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,128})""",
+    r"""(?i:user(?:name)?|login|account|client|(?:access_?)?key)[_-]?(?i:id)?["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._-]{3,})""",
     re.ASCII,
 )
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
-_MOST = 128
-_ENDPOINT = re.compile(r"""(?:[A-Za-z][A-Za-z0-9+.-]{0,30}://|(?<=@))[A-Za-z0-9.-]+(?::[0-9]{1,5})?(?:/[^\s"'<>]{0,256})?""")
+_ENDPOINT = re.compile(r"""(?:[A-Za-z][A-Za-z0-9+.-]{0,30}://|(?<=@))[A-Za-z0-9.-]+(?::[0-9]{1,5})?(?:/[^\s"'<>]*)?""")
 _BREAK = re.compile(r"\n[\x20\x09-\x0D]*\n")
 
 
@@ -76,7 +75,7 @@ def weak_parts(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, i
     for m in _RUN.finditer(text):
         run = m[0]
         mixed = any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
-        if mixed and len(run) <= _MOST and len(set(run)) >= 10:
+        if mixed and len(set(run)) >= 10:
             found.append((*m.span(), "opaque"))
     if not found or not base:
         return found

@@ -86,11 +86,11 @@ def sharded(docs: DataFrame, carry: Sequence[str], weights: Sequence[float] = (1
         F.crc32(text).cast("long").alias("text_crc32"),
         shard_of(key, weights).alias("shard"),
         shard_of(key, [*weights, 1.0]).alias("grown_shard"),
-        F.pmod(F.xxhash64(F.lit("piece"), key), F.lit(pieces)).alias("piece"),
+        F.pmod(F.xxhash64(F.lit("piece"), key, text), F.lit(pieces)).alias("piece"),
     )
     slim = docs.select(
         shard_of(key, weights).alias("shard"),
-        F.pmod(F.xxhash64(F.lit("piece"), key), F.lit(pieces)).alias("piece"),
+        F.pmod(F.xxhash64(F.lit("piece"), key, text), F.lit(pieces)).alias("piece"),
     )
     earlier = W.partitionBy("shard").orderBy("piece").rowsBetween(W.unboundedPreceding, -1)
     counted = slim.groupBy("shard", "piece").agg(F.count("*").alias("n"))

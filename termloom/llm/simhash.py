@@ -10,14 +10,7 @@ fingerprints are linked exactly through the values one bit away (two fingerprint
 two bits share such a value, and only those do), each value keeping its least member.
 Connected components alternate large-star and small-star steps on the written edges.
 
-Two bits are far less than texts of a five-word similarity of 0.8 differ in, and
-masks for the dozen bits that they need would be thousands. So ``distinct_documents`` joins
-the sets of distinct five-word shingles of all distinct documents exactly: of two sets of similarity
-0.8 each must hold a common shingle among its first fifth (the prefix) under any fixed
-order. Shingles that are frequent in a sample come last in that order. Prefix shingles that
-two sets share give candidates, bounded by length; each is compared on all shingles.
-A shingle with many members is not written as pairs: blocks of its members are compared
-inside one group, pair of blocks by pair of blocks.
+``distinct_documents`` keeps one document of each class; the bit distance alone decides.
 """
 
 from __future__ import annotations
@@ -30,28 +23,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import ODD, WordHashes, grams, kept, mark, mixed, signed, text_bytes
+from termloom.llm.common import kept, mark, text_bytes
 
 SEED = 42
 SHINGLE = 3
 RADIUS = 2
-#: Words of a shingle and similarity (Jaccard, distinct shingles) of near copies.
-WIDE = 5
-SIMILARITY = 0.8
-#: Least average number of shingles in a slice, and the slices of a document that count.
-LEAST = 3
-TABLES = 64
-#: One in so many texts is sampled for frequent shingles; those seen so often come last, at most
-#: so many. They only set the order of prefixes, no result depends on them.
-SAMPLE = 64
-SEEN = 4
-MOST_HOT = 1 << 20
-#: Members of a shingle that are compared as written pairs; more are compared in blocks.
-FEW = 32
-#: Shingles in a block, entries of a dense matrix in it, and its rows that are compared at once.
-BLOCK = 1 << 21
-DENSE = 1 << 25
-ROWS = 256
 
 
 def masks() -> list[int]:
@@ -102,38 +78,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return slim.mapInArrow(run, "doc_id long, mark long, fp long")
 
 
-def _prints(docs: DataFrame) -> DataFrame:
-    """``doc_id, _id, _none, _mark, fp, node, size, keys`` of every row, the texts read once.
-
-    ``node`` is the hash of its set of shingles, ``size`` their number, ``keys`` the prefix.
-    """
-    hot, counts = _hot(docs)
-    names = ["doc_id", "_id", "_none", "_mark"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for batch in batches:
-            texts = text_bytes(batch["text"])
-            found = np.array([fingerprint(t) for t in texts], np.uint64)
-            nodes, sizes, keys = [], [], [np.zeros(0, np.uint64)]
-            for text in texts:
-                shingles = wide_shingles(text, words)
-                nodes.append(xxhash.xxh3_64_intdigest(shingles.tobytes()))
-                sizes.append(len(shingles))
-                keys.append(prefix(shingles, hot, counts))
-            ends = np.cumsum([len(k) for k in keys]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(np.concatenate(keys))))
-            made = [pa.array(signed(found)), pa.array(signed(np.array(nodes, np.uint64)))]
-            made += [pa.array(sizes, pa.int64()), lists]
-            yield pa.RecordBatch.from_arrays([batch[c] for c in names] + made, [*names, "fp", "node", "size", "keys"])
-
-    number, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    slim = docs.select(number.alias("doc_id"), *_identity(number, text), text.alias("text"))
-    return slim.mapInArrow(
-        run, "doc_id long, _id long, _none boolean, _mark long, fp long, node long, size long, keys array<long>"
-    )
-
-
 def links(fps: DataFrame) -> DataFrame:
     """Edges ``a > b`` between distinct fingerprints (column ``fp``) within the radius."""
     tables = F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(_long(m))) for m in masks()]))
@@ -174,16 +118,6 @@ def components(edges: DataFrame) -> DataFrame:
         state = found
 
 
-def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, mark, fp, root, component_id``: one row per row of ``docs``.
-
-    Texts without words (null too) have fingerprint zero and are linked like any other.
-    Rows with equal ids or texts are rows of their own. ``root`` is the least fingerprint
-    of the class, ``component_id`` the smallest id in it; rows without an id never give one.
-    """
-    return _rooted(kept(fingerprints(docs), "prints"))
-
-
 def _rooted(prints: DataFrame) -> DataFrame:
     """``prints`` (written) with ``root`` and ``component_id``."""
     ids = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
@@ -194,227 +128,47 @@ def _rooted(prints: DataFrame) -> DataFrame:
     return prints.join(rooted.drop("least").join(first, "root"), "fp")
 
 
-def wide_shingles(text: bytes, words: WordHashes) -> np.ndarray:
-    """Sorted hashes of the distinct five-word shingles (of all words if they are fewer)."""
-    hashes = words.of(text.lower().split())
-    return np.unique(grams(hashes, min(WIDE, len(hashes)))) if len(hashes) else hashes
-
-
-def slice_hashes(shingles: np.ndarray) -> np.ndarray:
-    """One hash per slice of the shingles; a probabilistic key, not used by the exact search.
+def classes(docs: DataFrame) -> DataFrame:
+    """``doc_id, mark, fp, root, component_id``: one row per row of ``docs``.
 
-    The number of slices is a power of two that follows the number of shingles; texts that
-    could be similar to one with half as many slices are sliced that way too.
+    Texts without words (null too) have fingerprint zero and are linked like any other.
+    Rows with equal ids or texts are rows of their own. ``root`` is the least fingerprint
+    of the class, ``component_id`` the smallest id in it; rows without an id never give one.
     """
-    level = max(0, (len(shingles) // LEAST).bit_length() - 1)
-    below = level and SIMILARITY * len(shingles) < LEAST << level
-    out = [np.zeros(0, np.uint64)]
-    for bits in [level, level - 1] if below else [level]:
-        part = shingles >> np.uint64(64 - bits) if bits else np.zeros_like(shingles)
-        part = part[: np.searchsorted(part, TABLES)]
-        if len(part):
-            first = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1))
-            sums = np.add.reduceat(mixed(shingles[: len(part)]), first)
-            out.append(mixed(sums + np.uint64(bits * ODD % 2**64)))
-    return np.concatenate(out)
-
-
-def _hot(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles of a sample of the texts, ascending, and their counts there."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for batch in batches:
-            for text in text_bytes(batch["text"]):
-                yield pa.RecordBatch.from_arrays([pa.array(signed(wide_shingles(text, words)))], ["key"])
-
-    text = F.col("text").cast("string")
-    sample = docs.select(text.alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
-    found = sample.mapInArrow(run, "key long").groupBy("key").agg(F.count("*").alias("n"))
-    found = found.where(F.col("n") >= SEEN).orderBy(F.desc("n"), "key").limit(MOST_HOT).toArrow()
-    keys = found["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], found["n"].to_numpy()[order]
-
-
-def prefix(shingles: np.ndarray, hot: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first of the shingles in the order (count of ``hot``, value): so many that a set of
-    ``SIMILARITY`` must share one of them within its own."""
-    size = len(shingles) - int(np.ceil(SIMILARITY * len(shingles) - 1e-6)) + 1
-    if not len(hot):
-        return shingles[:size]
-    at = np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)
-    order = np.argsort(np.where(hot[at] == shingles, counts[at], 0), kind="stable")
-    return shingles[order[:size]]
-
-
-def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = WordHashes()
-    for batch in batches:
-        pairs = zip(text_bytes(batch["text_a"]), text_bytes(batch["text_b"]), strict=True)
-        stays = []
-        for one, other in pairs:
-            x, y = wide_shingles(one, words), wide_shingles(other, words)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            stays.append(both >= SIMILARITY * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(stays, pa.bool_()))
-
-
-def _overlaps(owner: np.ndarray, column: np.ndarray, n: int, m: int) -> Iterator[np.ndarray]:
-    """Common entries of sets ``ROWS`` at a time with all ``n`` sets; ``owner`` is ascending."""
-    if n * m <= DENSE:
-        dense = np.zeros((n, m), np.float32)
-        dense[owner, column] = 1
-        for k in range(0, n, ROWS):
-            yield dense[k : k + ROWS] @ dense.T
-        return
-    held = owner[np.argsort(column, kind="stable")]
-    ends = np.searchsorted(np.sort(column), np.arange(m + 1))
-    cuts = np.searchsorted(owner, np.arange(n + 1))
-    for k in range(0, n, ROWS):
-        out = np.zeros((min(ROWS, n - k), n), np.int64)
-        for i in range(len(out)):
-            for c in column[cuts[k + i] : cuts[k + i + 1]]:
-                out[i, held[ends[c] : ends[c + 1]]] += 1
-        yield out
-
-
-def forest(nodes: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Edges ``a > b`` between sets of at least ``SIMILARITY`` that connect what all such edges
-    connect: all pairs are compared, at most one edge per set is returned."""
-    n, sizes = len(sets), np.array([len(s) for s in sets])
-    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner, common = np.repeat(np.arange(n), sizes), counts > 1
-    use = common[column]
-    column = (np.cumsum(common) - 1)[column[use]]
-    label, edges, row = np.arange(n), [], 0
-    for both in _overlaps(owner[use], column, n, int(common.sum())):
-        other = sizes[row : row + len(both), None] + sizes[None, :] - both
-        near = both >= SIMILARITY * other.astype(np.float64)
-        for i, found in enumerate(near, row):
-            at = np.flatnonzero(found & (label != label[i]))
-            labels, first = np.unique(label[at], return_index=True)
-            if len(at):
-                pairs = [(int(nodes[i]), int(nodes[j])) for j in at[first]]
-                edges += [(max(p), min(p)) for p in pairs]
-                label[np.isin(label, labels)] = label[i]
-        row += len(both)
-    return edges
-
-
-def _block_edges(block: pa.Table) -> pa.Table:
-    sizes = block["shingles"].combine_chunks().value_lengths().to_numpy()
-    flat = block["shingles"].combine_chunks().flatten().to_numpy()
-    sets = np.split(flat, np.cumsum(sizes)[:-1])
-    found = np.array(forest(block["node"].to_numpy(), sets), np.int64).reshape(-1, 2)
-    return pa.table({"a": found[:, 0], "b": found[:, 1]})
-
-
-def _candidates(prints: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``a > b`` of nodes to compare, and ``node, key, i, j``: the members of the blocks
-    ``i`` and ``j`` of a shingle of many; ``roots`` has ``node, root``, linked nodes share one."""
-    keyed = prints.select("node", "size", F.explode("keys").alias("key"))
-    ends = keyed.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = kept(ends.where("low < high").select("key"), "shared")
-    met = keyed.join(shared, "key", "left_semi").distinct().join(roots, "node")
-    met = kept(met, "met")
-    sizes = met.groupBy("key").agg(
-        F.count("*").alias("n"), F.sum("size").alias("total"),
-        F.min("root").alias("low"), F.max("root").alias("high"),
-    )
-    # Where all members are linked already there is nothing to find.
-    sizes = kept(sizes.where("low < high").drop("low", "high"), "sizes")
-    few = met.join(sizes.where(F.col("n") <= FEW), "key")
-    few = few.groupBy("key").agg(F.collect_list(F.struct("node", "size", "root")).alias("all"))
-    pairs = few.select("all", F.explode("all").alias("x")).select("x", F.explode("all").alias("y"))
-    low, high = F.least("x.size", "y.size"), F.greatest("x.size", "y.size")
-    near = (F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root"))
-    pairs = pairs.where(near & (low >= F.lit(SIMILARITY - 1e-6) * high))
-    pairs = kept(pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "pairs")
-    many = met.join(sizes.where(F.col("n") > FEW), "key")
-    blocks = F.ceil(F.col("total") / F.lit(BLOCK)).cast("long")
-    many = many.select("node", "key", blocks.alias("blocks"))
-    many = many.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    many = many.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    many = many.select("node", "key", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"))
-    return pairs, kept(many, "blocks")
-
-
-def _in_blocks(blocks: DataFrame, texts: DataFrame) -> DataFrame:
-    """Edges that connect what is similar in each pair of blocks."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
-        for batch in batches:
-            found = [signed(wide_shingles(t, words)) for t in text_bytes(batch["text"])]
-            made = pa.array(found, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch["node"], made], ["node", "shingles"])
-
-    held = texts.join(blocks.select("node").distinct(), "node", "left_semi")
-    sets = kept(held.select("node", "text").mapInArrow(run, "node long, shingles array<long>"), "sets")
-    return blocks.join(sets, "node").groupBy("key", "i", "j").applyInArrow(_block_edges, "a long, b long")
-
-
-def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs of at least ``SIMILARITY``; ``texts`` has ``node, text``, each node once."""
-    # Few members first, the choices of large groups last: adaptive execution sees their bytes.
-    for side in ("a", "b"):
-        named = texts.select(F.col("node").alias(side), F.col("text").alias(f"text_{side}"))
-        pairs = pairs.join(named, side)
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_alike, "a long, b long")
-
-
-def _identity(number: Column, text: Column) -> list[Column]:
-    """Id, whether there is none, and the hash of the text of a row: keys that are never null."""
-    return [
-        F.coalesce(number, F.lit(0).cast("long")).alias("_id"),
-        number.isNull().alias("_none"),
-        F.xxhash64(F.coalesce(text, F.lit(""))).alias("_mark"),
-    ]
+    return _rooted(kept(fingerprints(docs), "prints"))
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id, with all its
-    columns.
+    """One document of each class, the one with the smallest id, with all its columns.
 
-    Groups are what is connected by fingerprints within ``RADIUS`` and by a five-word
-    similarity of ``SIMILARITY`` among all distinct texts. A group in which no row has an id
-    keeps one of its rows; rows that share id and text count as one. Texts without words are
-    copies of each other.
+    Classes are what ``classes`` links: fingerprints of ``SHINGLE`` words within ``RADIUS``
+    bits, chains included. A class in which no row has an id keeps one of its rows; rows
+    that share id and text count as one. Texts without words are copies of each other. An
+    empty table stays empty; further columns are kept, whatever their names.
 
-    Decisions are made on narrow tables. These are written, so Spark knows their size and
-    broadcasts what is below its threshold; beyond it the texts are shuffled twice, for the
-    comparison and for the result.
+    Decisions are made on narrow tables, which are written, so Spark knows their size and
+    broadcasts what is below its threshold; beyond it the texts are shuffled once.
     """
     own = ["_none", "_id", "_mark"]
     text = F.col("text").cast("string")
     identity = _identity(F.col("doc_id").cast("long"), text)
-    prints = kept(_prints(docs), "prints")
-    rooted = kept(_rooted(prints.select("doc_id", *own, "fp", "node")), "rooted")
-    carrier = F.min(F.struct(*own)).alias("c")
-    nodes = kept(rooted.groupBy("node").agg(F.min("root").alias("root"), carrier), "nodes")
-    roots = nodes.select("node", "root")
-    pairs, blocks = _candidates(prints, roots)
-    named = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(blocks.select("node"))
-    named = kept(nodes.join(named.distinct(), "node", "left_semi").select("node", "c.*"), "named")
-    texts = docs.select(*identity, text.alias("text")).join(named, own)
-    texts = kept(texts.select("node", "text").dropDuplicates(["node"]), "texts")
-    found = _similar(pairs, texts).unionByName(_in_blocks(blocks, texts))
-    for side in ("a", "b"):
-        found = found.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side)
-    edges = found.select(F.col("root_a").alias("x"), F.col("root_b").alias("y"))
-    # Rows with equal shingles and fingerprints of several classes connect these.
-    several = rooted.select("node", F.col("root").alias("x")).distinct()
-    several = several.join(roots, "node").select("x", F.col("root").alias("y"))
-    edges = edges.unionByName(several).where("x != y")
-    linked = components(edges.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
-    linked = linked.select(F.col("a").alias("root"), F.col("b").alias("group"))
-    firsts = rooted.groupBy("root").agg(F.min(F.struct(*own)).alias("first")).join(linked, "root", "left")
-    stay = firsts.groupBy(F.coalesce("group", "root").alias("group")).agg(F.min("first").alias("first"))
-    stay = kept(stay.select("first.*"), "stay")
+    rooted = kept(classes(docs), "rooted")
+    keys = _identity(F.col("doc_id"), None)
+    firsts = rooted.select("root", *keys).groupBy("root").agg(F.min(F.struct(*own)).alias("first"))
+    stay = kept(firsts.select("first.*"), "stay")
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), *identity)
     rows = rows.join(stay, own, "left_semi")
-    repeated = rooted.join(stay, own, "left_semi").groupBy(*own).count().where("count > 1")
-    if not repeated.isEmpty():
+    repeated = rooted.select(*keys).join(stay, own, "left_semi").groupBy(*own).count()
+    if not repeated.where("count > 1").isEmpty():
         rows = rows.dropDuplicates(own)
     return rows.select("_row.*")
+
+
+def _identity(number: Column, text: Column | None) -> list[Column]:
+    """Keys of a row that are never null: whether it has no id, the id, the mark of its text
+    (the column ``mark`` if there is no text)."""
+    return [
+        number.isNull().alias("_none"),
+        F.coalesce(number, F.lit(0).cast("long")).alias("_id"),
+        (F.col("mark") if text is None else mark(text)).alias("_mark"),
+    ]

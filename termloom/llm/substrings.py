@@ -23,7 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm import anchors
+from termloom.llm.anchors import (
+    asked,
+    by_class,
+    first_of,
+    mark_of,
+    sliding_least,
+    slim,
+    spot,
+    units,
+)
 from termloom.llm.common import Ranges, WordHashes, grams, kept, signed, text_bytes
 
 WINDOW = 13
@@ -45,11 +54,11 @@ def _units(docs: DataFrame) -> DataFrame:
                 if len(hashes) < WINDOW:
                     continue
                 small = grams(hashes, GRAM)
-                owners = anchors.sliding_least(small, WINDOW - GRAM + 1)
-                first, count = anchors.units(owners)
+                owners = sliding_least(small, WINDOW - GRAM + 1)
+                first, count = units(owners)
                 whole = Ranges(hashes).hashes(first, first + count + WINDOW - 1)
                 out[0].append(np.full(len(first), number, np.int64))
-                out[1].append(anchors.spot(mark, first))
+                out[1].append(spot(mark, first))
                 out[2].append(small[owners[first]])
                 out[3].append(whole + count.astype(np.uint64))
                 out[4].append(count)
@@ -81,7 +90,7 @@ def _opened(docs: DataFrame, open_classes: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["id", "k", "e", "at", "words"]
             )
 
-    texts = docs.select("id", "mark", "text").join(anchors.asked(open_classes), ["id", "mark"])
+    texts = docs.select("id", "mark", "text").join(asked(open_classes), ["id", "mark"])
     return texts.select("id", "text", "places").mapInArrow(
         run, "id long, k long, e long, at long, words array<long>"
     )
@@ -124,7 +133,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     found = _units(rows)
     shared = found.groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
     live = kept(found.join(kept(shared.select("k"), "grams"), "k", "left_semi"), "units")
-    classes = kept(anchors.by_class(live), "classes")
+    classes = kept(by_class(live), "classes")
     opened = kept(_opened(rows, classes.where("classes > 1")), "opened")
 
     # Aggregates are written before they are joined: a join of two plain shuffles is one
@@ -145,13 +154,13 @@ def repeats(rows: DataFrame) -> DataFrame:
     done = classes.join(own, ["k", "e"], "left").where("last > first OR places IS NOT NULL")
     done = kept(done.select("k", "e", "first", "places"), "done")
     joined = live.join(done, ["k", "e"])
-    at = anchors.first_of().cast("long")
+    at = first_of().cast("long")
     every = F.array(F.struct(at.alias("start"), F.col("shape").cast("long").alias("count")))
     some = F.transform(
         "places", lambda p: F.struct((at + p).alias("start"), F.lit(1).cast("long").alias("count"))
     )
     runs = F.when(F.col("id") > F.col("first"), every).otherwise(some)
-    covered = joined.select("id", anchors.mark_of(), F.explode(runs).alias("run"))
+    covered = joined.select("id", mark_of(), F.explode(runs).alias("run"))
     return covered.groupBy("id", "mark").agg(F.collect_list("run").alias("runs"))
 
 
@@ -162,7 +171,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     an id come after all others and never count as earlier than one another; rows
     that share an id belong to one document in the order of ids.
     """
-    rows = anchors.slim(docs)
+    rows = slim(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

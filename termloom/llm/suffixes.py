@@ -27,7 +27,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm import anchors
+from termloom.llm.anchors import (
+    asked,
+    by_class,
+    first_of,
+    mark_of,
+    sliding_least,
+    slim,
+    spot,
+    units,
+)
 from termloom.llm.common import ODD, ODD_INVERSE, kept, mixed, signed, text_bytes
 from termloom.llm.gsaca import suffix_array
 
@@ -71,12 +80,12 @@ def _units(docs: DataFrame) -> DataFrame:
                 if len(text) < WINDOW:
                     continue
                 hashes = gram_hashes(np.frombuffer(text, np.uint8))
-                owners = anchors.sliding_least(hashes, WINDOW - GRAM + 1)
-                first, count = anchors.units(owners)
+                owners = sliding_least(hashes, WINDOW - GRAM + 1)
+                first, count = units(owners)
                 ends = first + count + WINDOW - 1
                 whole = [digest(text[a:b]) for a, b in zip(first.tolist(), ends.tolist(), strict=True)]
                 out[0].append(np.full(len(first), number, np.int64))
-                out[1].append(anchors.spot(mark, first))
+                out[1].append(spot(mark, first))
                 out[2].append(hashes[owners[first]])
                 out[3].append(np.array(whole, np.uint64))
                 out[4].append(count * 512 + owners[first] - first)
@@ -121,7 +130,7 @@ def _slices(docs: DataFrame, open_classes: DataFrame) -> DataFrame:
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
             )
 
-    texts = docs.select("id", "mark", "text").join(anchors.asked(open_classes), ["id", "mark"])
+    texts = docs.select("id", "mark", "text").join(asked(open_classes), ["id", "mark"])
     schema = """core long, c2 long, k long, e long, copies long, start long, left binary,
     right binary"""
     return texts.select("text", "places").mapInArrow(run, schema)
@@ -209,7 +218,7 @@ def repeats(rows: DataFrame) -> DataFrame:
     # whose hot keys adaptive execution can split.
     shared = kept(found.groupBy("k").count().where("count > 1").select("k"), "grams")
     live = kept(found.join(shared, "k", "left_semi"), "units")
-    classes = kept(anchors.by_class(live), "classes")
+    classes = kept(by_class(live), "classes")
     slices = kept(_slices(rows, classes.where("classes > 1")), "slices")
     sizes = kept(slices.groupBy("core", "c2").count().where("count > 1"), "cores")
     several = slices.join(sizes.where(F.col("count") <= MOST), ["core", "c2"], "left_semi")
@@ -220,14 +229,14 @@ def repeats(rows: DataFrame) -> DataFrame:
 
     done = classes.join(own, ["k", "e"], "left").where("copies > 1 OR places IS NOT NULL")
     joined = live.join(kept(done.select("k", "e", "copies", "places"), "done"), ["k", "e"])
-    at = anchors.first_of().cast("long")
+    at = first_of().cast("long")
     count = F.shiftright("shape", 9).cast("long")
     every = F.array(F.struct(at.alias("start"), count.alias("count")))
     some = F.transform(
         "places", lambda p: F.struct((at + p).alias("start"), F.lit(1).cast("long").alias("count"))
     )
     runs = F.when(F.col("copies") > 1, every).otherwise(some)
-    covered = joined.select("id", anchors.mark_of(), F.explode(runs).alias("run"))
+    covered = joined.select("id", mark_of(), F.explode(runs).alias("run"))
     return covered.groupBy("id", "mark").agg(F.collect_list("run").alias("runs"))
 
 
@@ -238,7 +247,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     two places like any others, so both lose what they share. Rows without an id are treated
     like rows with one.
     """
-    rows = anchors.slim(docs)
+    rows = slim(docs)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
     def cleaned(text: bytes, runs: list[dict] | None) -> tuple:
