@@ -7,6 +7,7 @@ Counted as part of the subpackage ``llm``. ``run`` applies the stages to ``docum
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from termloom.llm import contamination, mixing, quality, sharding, simhash
 from termloom.llm.common import kept, table
@@ -18,8 +19,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: fingerprints within two bits, or a
-    five-word similarity of 0.8."""
+    """One document of each group of near duplicates: fingerprints of three-word shingles
+    within two bits, as in op7."""
     return simhash.distinct_documents(docs)
 
 
@@ -34,10 +35,19 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding_tree(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document with its shard, its slot there and its shard after growth."""
-    names = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    """Every document with its shard, its slot there and its shard after growth.
+
+    A column of the input that is named like a computed one goes on as ``input_`` and its
+    name (further underscores if that is taken, too).
+    """
+    made = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     placed = sharding.sharded(docs, docs.columns)
-    return placed.select("row.*", *[c for c in names if c not in docs.columns])
+    names = {c: c for c in docs.columns}
+    for c in set(made) & set(docs.columns):
+        names[c] = f"input_{c}"
+        while names[c] in docs.columns:
+            names[c] += "_"
+    return placed.select(*[F.col("row")[c].alias(names[c]) for c in docs.columns], *made)
 
 
 STAGES = [
