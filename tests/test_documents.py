@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from termloom.functions import labels as lb
 from termloom.operators import documents as docs
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from termloom.functions.labels import SENTIMENTS
 from termloom.operators import metrics
 from termloom.plans import jobs

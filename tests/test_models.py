@@ -3,7 +3,7 @@ import dataclasses
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from termloom.models import candidates as cd
 from termloom.models import selection, weights
 from termloom.models.metadata import training_record

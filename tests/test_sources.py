@@ -3,7 +3,7 @@ import pathlib
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from termloom.functions import labels as lb
 from termloom.models import candidates as cd
 from termloom.operators import metrics, runs, terms

@@ -3,7 +3,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from termloom.functions import text as tx
 from termloom.operators import terms
 from termloom.plans import jobs
