@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from termloom.llm import (
     contamination,
+    conversations,
     lines,
     mixing,
+    periods,
     pii,
     quality,
     secrets,
@@ -18,6 +20,7 @@ from termloom.llm import (
     simhash,
     substrings,
     suffixes,
+    tokenfiles,
 )
 from termloom.llm.common import table
 
@@ -87,6 +90,41 @@ def op10_robust_outliers(spark, sf_dir):
     return found.select("row.doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+@query
+def op11_block_convolution(spark, sf_dir):
+    found = periods.periodic_runs(periods.planted(table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", periods.best(F.col("runs")))
+    lines_of = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(lines_of, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.*",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
+#: Vocabulary file of op12; any file of the tokenizers library will do.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@query
+def op12_elias_fano(spark, sf_dir):
+    import public_tokenizers
+
+    files = tokenfiles.written(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return tokenfiles.located(files, F.crc32("ids").cast("long").alias("ids_crc32"))
+
+
+@query
+def op13_integer_paths(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations")
+    found = conversations.repaired(given, conversations.damaged(given))
+    return found.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")
+
+
 # Words of a text in DuckDB's dialect.
 _WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
