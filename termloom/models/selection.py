@@ -3,20 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termloom.functions.labels import SENTIMENTS
+from termloom.models import linear
 from termloom.models.candidates import (
     CANDIDATES,
     Candidate,
-    Statistics,
+    feature_blocks,
     fit_candidate,
-    statistics_for,
+    fit_together,
 )
 from termloom.operators.documents import stratified_split
 from termloom.operators.metrics import accuracy, class_report, metric_averages, pair_counts
@@ -24,6 +22,7 @@ from termloom.operators.runs import best_candidate
 from termloom.operators.scale import materialise
 
 SCORES = "candidate_index int, model_name string, accuracy double, f1_macro double"
+PAIRS = "candidate_index int, model_name string, actual string, predicted string, count long"
 
 
 def predicted(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -43,37 +42,53 @@ def select_model(
     fraction: float = 0.15,
     seed: int = 42,
     max_iter: int | None = None,
-    parallelism: int = 4,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit every candidate on part of ``train``, score it on the rest, refit the best.
 
-    ``train`` has ``row_id, model_input, label``. Up to ``parallelism`` candidates are
-    fitted at the same time. Returns the refitted model and the scores, one row per
-    candidate with ``selected``.
+    ``train`` has ``row_id, model_input, label``. All candidates are fitted and scored in
+    common passes over one table of features. Returns the refitted model and the
+    scores, one row per candidate with ``selected``.
     """
     spark = train.sparkSession
     split = materialise(stratified_split(train, fraction, seed=seed, names=("fit", "check")))
     fit, check = split.where(F.col("split") == "fit"), split.where(F.col("split") == "check")
-    known: Statistics = {}
-    for candidate in candidates:
-        for _, settings in candidate.parts():
-            statistics_for(fit, settings, "model_input", known)
-
-    @inheritable_thread_target(spark)
-    def score(index: int) -> tuple[int, str, float, float]:
-        model = fit_candidate(fit, candidates[index], max_iter=max_iter, known=known)
-        found = test_metrics(evaluate(model, check), None).first()
-        return index, candidates[index].name, found["accuracy"], found["f1_macro"]
-
-    with ThreadPool(parallelism) as pool:
-        rows = pool.map(score, range(len(candidates)))
-    scores = spark.createDataFrame(rows, SCORES)
+    vectors, problems, fitted, widths = fit_together(fit, candidates, max_iter=max_iter)
+    checked = feature_blocks(vectors.transform(check), widths, "label", check.count())
+    try:
+        counts = linear.pair_counts(checked, fitted, problems)
+    finally:
+        checked.unpersist()
+    pairs = [
+        (index, candidates[index].name, SENTIMENTS[a], SENTIMENTS[p], int(counts[index, a, p]))
+        for index, a, p in zip(*counts.nonzero(), strict=True)
+    ]
+    pairs = [(int(index), *rest) for index, *rest in pairs]
+    scores = materialise(candidate_scores(spark.createDataFrame(pairs, PAIRS)))
     best = best_candidate(scores).first()
     model = fit_candidate(train, candidates[best["candidate_index"]], max_iter=max_iter)
     chosen = F.col("candidate_index") == best["candidate_index"]
     return model, scores.withColumn("selected", chosen)
 
 
+def candidate_scores(pairs: DataFrame) -> DataFrame:
+    """Accuracy and macro F1 over the classes that occur, by candidate, from pair counts."""
+    names = ["candidate_index", "model_name"]
+    sides = F.explode(F.array(
+        F.struct(F.col("actual").alias("class"), F.col("count").alias("actual_rows"), F.lit(0).cast("long").alias("found")),
+        F.struct(F.col("predicted").alias("class"), F.lit(0).cast("long").alias("actual_rows"), F.col("count").alias("found")),
+    )).alias("s")
+    hit = F.when(F.col("actual") == F.col("predicted"), F.col("count")).otherwise(0)
+    right = F.when(F.col("s.actual_rows") > 0, hit).otherwise(0)
+    split = pairs.select("*", sides).withColumn("right", right)
+    by_class = split.groupBy(*names, "s.class").agg(
+        F.sum("s.actual_rows").alias("rows"), F.sum("s.found").alias("found"), F.sum("right").alias("right")
+    )
+    f1 = 2.0 * F.col("right") / (F.col("rows") + F.col("found"))
+    return by_class.groupBy(*names).agg(
+        (F.sum("right") / F.sum("rows")).alias("accuracy"), F.avg(f1).alias("f1_macro")
+    )
+
+
 def test_metrics(
     counts: DataFrame, labels: Sequence[str] | None = tuple(SENTIMENTS)
 ) -> DataFrame:
