@@ -85,6 +85,22 @@ def log_odds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, dict[str
     return wide.select("term", *[weight(name) for name in SENTIMENTS]), size, shares
 
 
+def scorer(spark: SparkSession, sf_dir: str):
+    """A fixed model for the jobs: adds ``predicted_sentiment`` to rows with ``model_input``."""
+    weights, size, shares = log_odds(spark, sf_dir)
+
+    def score(df: DataFrame) -> DataFrame:
+        rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
+        runs = tx.sorted_runs(tx.report_tokens(F.col("model_input")))
+        found = rows.select(F.col("_row").alias("row_id"), F.inline_outer(runs))
+        found = found.select("row_id", "term", F.col("tf").cast("double").alias("weight"))
+        scores = scoring.linear_scores(found, weights, size, shares)
+        best = scoring.best_class(digits=6).alias("predicted_sentiment")
+        return rows.join(scores.select(F.col("row_id").alias("_row"), best), "_row").drop("_row")
+
+    return score
+
+
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every sentiment for every document."""
     weights, size, shares = log_odds(spark, sf_dir)

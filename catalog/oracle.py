@@ -217,6 +217,11 @@ def _scores() -> str:
     GROUP BY d.row_id)"""
 
 
+# Documents and conversations with their category in front of the text.
+_SOURCES = """docs AS (
+  SELECT row_id, grp, concat_ws(' ', grp, text) AS text FROM (
+    SELECT doc_id::VARCHAR AS row_id, 'articles' AS grp, text FROM documents
+    UNION ALL SELECT conv_id || ':' || turn, 'talks', text FROM conversations))"""
 BEST = """CASE WHEN negative >= neutral AND negative >= positive THEN 'negative'
      WHEN neutral >= positive THEN 'neutral' ELSE 'positive' END"""
 EXPERIMENTS = r"""runs AS (
@@ -484,4 +489,61 @@ def oracle_sql() -> dict[str, str]:
             SELECT split, sentiment, count(*) AS count FROM s GROUP BY ALL""",
         "runs_roundtrip": f"""WITH {EXPERIMENTS} SELECT max_docs, chunk_size, workers,
             elapsed_seconds, processed_docs, {SPEEDUP} FROM runs""",
+        "chart_runtime": f"""WITH {EXPERIMENTS}
+            SELECT max_docs, chunk_size, elapsed_seconds FROM runs""",
+        "chart_speedup": f"""WITH {EXPERIMENTS} SELECT max_docs, chunk_size, {SPEEDUP} FROM runs""",
+        "chart_confusion": f"WITH {ROWS} SELECT actual, predicted, count FROM cells",
+        **{
+            f"chart_top_{name}": f"""WITH {_group_terms()}, merged AS (
+              SELECT sentiment, term, sum(count)::BIGINT AS count FROM ranked
+              WHERE rank <= 20 AND sentiment = '{name}' GROUP BY ALL)
+            SELECT *, row_number() OVER (ORDER BY count DESC, term) AS rank FROM merged
+            QUALIFY rank <= 10"""
+            for name in ("positive", "negative")
+        },
+        "bounded_top_terms": f"""WITH {_group_terms()}, lists AS (SELECT * FROM ranked WHERE rank <= 20),
+            ends AS (SELECT sentiment, grp, CASE WHEN count(*) >= 20 THEN min(count) ELSE 0 END AS last
+                     FROM lists GROUP BY ALL),
+            totals AS (SELECT sentiment, sum(last) AS unseen FROM ends GROUP BY sentiment),
+            bounds AS (SELECT sentiment, term, sum(count)::BIGINT AS lower,
+                              (sum(count) - sum(last))::BIGINT AS most
+                       FROM lists JOIN ends ON lists.sentiment = ends.sentiment
+                         AND lists.grp IS NOT DISTINCT FROM ends.grp GROUP BY ALL),
+            whole AS (SELECT sentiment, term, sum(count)::BIGINT AS count FROM counts GROUP BY ALL),
+            best AS (SELECT *, row_number() OVER (PARTITION BY sentiment ORDER BY count DESC, term) AS rank
+                     FROM whole QUALIFY rank <= 10)
+            SELECT sentiment, term, coalesce(lower, 0) AS lower,
+                   (coalesce(most, 0) + unseen)::BIGINT AS upper, count, rank
+            FROM best JOIN totals USING (sentiment) LEFT JOIN bounds USING (sentiment, term)""",
+        "distinct_term_sketches": f"""WITH {_terms()}
+            SELECT sentiment, count(*) AS exact, true AS within_error FROM counts GROUP BY sentiment
+            UNION ALL SELECT 'all', count(DISTINCT term), true FROM counts""",
+        "ground_truth_validation": f"""WITH {LD}, pairs AS (
+              SELECT {GUESS} AS predicted, coalesce(l.sentiment, 'neutral') AS actual
+              FROM documents d LEFT JOIN (SELECT row_id, sentiment FROM ld) l ON l.row_id = d.doc_id),
+            {_report_of()} {REPORT}""",
+        "held_out_report": f"""WITH {_scores()}, split AS (SELECT row_id, sentiment AS actual,
+              row_number() OVER (PARTITION BY sentiment ORDER BY {SHUFFLE})
+                <= round(0.2::DOUBLE * count(*) OVER (PARTITION BY sentiment)) AS test FROM ld),
+            pairs AS (SELECT actual, {BEST} AS predicted FROM split JOIN scores USING (row_id)
+                      WHERE test), {_report_of()} {REPORT}""",
+        "run_summary": """SELECT count(*) AS processed_docs, 20::BIGINT AS top_n, true AS timed
+            FROM documents""",
+        "run_label_counts": f"""WITH {_scores()}, p AS (SELECT coalesce(grp, 'unknown') AS "group",
+              {BEST} AS predicted_sentiment FROM scores JOIN docs USING (row_id))
+            SELECT "group", predicted_sentiment, count(*) AS count FROM p
+            GROUP BY GROUPING SETS (("group", predicted_sentiment), (predicted_sentiment))""",
+        "scored_sources": f"""WITH {_scores().replace(DOCS, _SOURCES)}, p AS (
+              SELECT grp AS category, {BEST} AS predicted_sentiment FROM scores JOIN docs USING (row_id))
+            SELECT category, predicted_sentiment, count(*) AS count FROM p
+            GROUP BY GROUPING SETS ((category, predicted_sentiment), (predicted_sentiment))""",
+        "training_metadata": f"""WITH {ROWS}, {_report_of()}
+            SELECT 'baseline' AS selected_candidate, (SELECT count(*) FROM ld) AS total_rows,
+              (SELECT count(*) FROM ld WHERE sentiment = 'negative') AS negative,
+              (SELECT count(*) FROM ld WHERE sentiment = 'neutral') AS neutral,
+              (SELECT count(*) FROM ld WHERE sentiment = 'positive') AS positive,
+              (SELECT round(avg((actual = predicted)::INT), 6) FROM pairs) AS accuracy,
+              (SELECT round(avg(f1), 6) FROM (SELECT c.c, coalesce(f1, 0) AS f1
+                 FROM {SENTIMENTS} c(c) LEFT JOIN rep ON class = c.c)) AS f1_macro,
+              9::BIGINT AS cells, 42::BIGINT AS random_state, true AS timed""",
     }

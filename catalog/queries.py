@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from catalog import frames as fr
 from termloom.functions import labels as lb
 from termloom.functions import text as tx
-from termloom.models import candidates, selection, weights
+from termloom.models import candidates, metadata, relational, selection, weights
 from termloom.operators import documents, features, metrics, runs, scale, scoring, terms
 from termloom.plans import jobs
 from termloom.sources import readers, writers
@@ -257,6 +257,35 @@ def merged_top_terms(spark, sf_dir):
     return terms.merged_top_terms(report, 10)
 
 
+@query
+def bounded_top_terms(spark, sf_dir):
+    """Exact top terms over all groups from lists of 20, with the bounds that the lists gave."""
+    rows = terms.in_sentiments(fr.labelled(spark, sf_dir), ["positive", "negative"])
+    counts = scale.materialise(terms.term_counts(rows, ["group", "sentiment"], tx.plain_tokens))
+    return terms.bounded_top_terms(counts, 10)
+
+
+@query
+def distinct_term_sketches(spark, sf_dir):
+    """Distinct terms per sentiment and in all from sketches by group, against the exact counts."""
+    rows = fr.labelled(spark, sf_dir)
+    path = _folder(spark)
+    terms.term_sketches(rows, ["group", "sentiment"]).write.parquet(path)
+    saved = spark.read.parquet(path)
+    exact = scale.materialise(terms.term_counts(rows))
+    everything = F.lit("all").alias("sentiment")
+    pairs = [
+        (terms.distinct_terms(saved, ["sentiment"]), exact.groupBy("sentiment").agg(F.count("*").alias("exact"))),
+        (
+            terms.distinct_terms(saved).select(everything, "distinct_terms"),
+            exact.agg(F.countDistinct("term").alias("exact")).select(everything, "exact"),
+        ),
+    ]
+    near = F.abs(F.col("distinct_terms") - F.col("exact")) <= 0.03 * F.col("exact")
+    found = [a.join(b, "sentiment").select("sentiment", "exact", near.alias("within_error")) for a, b in pairs]
+    return found[0].unionByName(found[1])
+
+
 @query
 def most_common_terms(spark, sf_dir):
     return terms.most_common_terms(fr.docs(spark, sf_dir))
@@ -348,13 +377,42 @@ def validation(spark, sf_dir):
     return _six(found["report"], "precision", "recall", "f1")
 
 
-@query
-def chart_labels(spark, sf_dir):
-    """The label counts among the chart tables."""
+def _charts(spark, sf_dir):
     report = jobs.term_report(_predictions(spark, sf_dir), 20, by_group=True)
     counts, guesses = _pairs(spark, sf_dir), _guesses(spark, sf_dir)
     speedup = runs.run_speedup(fr.experiments(spark, sf_dir))
-    return jobs.chart_data(speedup, counts, report, guesses)["label_counts"]
+    return jobs.chart_data(speedup, counts, report, guesses)
+
+
+@query
+def chart_labels(spark, sf_dir):
+    """The label counts among the chart tables."""
+    return _charts(spark, sf_dir)["label_counts"]
+
+
+@query
+def chart_runtime(spark, sf_dir):
+    return _charts(spark, sf_dir)["runtime"]
+
+
+@query
+def chart_speedup(spark, sf_dir):
+    return _six(_charts(spark, sf_dir)["speedup"], "speedup_vs_first_chunk")
+
+
+@query
+def chart_confusion(spark, sf_dir):
+    return _charts(spark, sf_dir)["confusion_matrix"]
+
+
+@query
+def chart_top_positive(spark, sf_dir):
+    return _charts(spark, sf_dir)["top_positive"]
+
+
+@query
+def chart_top_negative(spark, sf_dir):
+    return _charts(spark, sf_dir)["top_negative"]
 
 
 @query
@@ -593,6 +651,84 @@ def split_roundtrip(spark, sf_dir):
     return saved.groupBy("split", "sentiment").agg(F.count("*").alias("count"))
 
 
+@query
+def ground_truth_validation(spark, sf_dir):
+    """Labels from CSV files, numbered by position, against predictions with row ids."""
+    path = _folder(spark)
+    labels = fr.table(spark, sf_dir, "labels").select("doc_id", fr.sentiment().alias("sentiment"))
+    rows = fr.table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
+    rows = rows.select("doc_id", "text", F.coalesce("sentiment", F.lit("neutral")).alias("sentiment"))
+    # Several files in the order of the ids; their texts have line breaks.
+    writers.write_csv(rows.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id"), path)
+    truth = readers.read_ground_truth(spark, path).select("row_id", "sentiment")
+    ids = fr.docs(spark, sf_dir, "n_chars").select("row_id", "n_chars")
+    numbered = scale.ordinals(ids.withColumn("_all", F.lit(0)), ["_all"], name="position")
+    guess = fr.guessed(F.col("n_chars")).alias("predicted_sentiment")
+    found = jobs.validate(numbered.select(F.col("position").alias("row_id"), guess), truth, "row_id")
+    return _six(found["report"], "precision", "recall", "f1")
+
+
+@query
+def held_out_report(spark, sf_dir):
+    """Class report of a fixed model on the saved test split, the only folder that is read."""
+    path = _folder(spark)
+    rows = fr.labelled(spark, sf_dir).withColumn("label", F.col("sentiment"))
+    writers.write_split(documents.stratified_split(rows, 0.2), path)
+    report = jobs.held_out(spark, path, fr.scorer(spark, sf_dir))
+    return _six(report, "precision", "recall", "f1")
+
+
+def _fixed_run(spark, sf_dir):
+    source, path = _folder(spark), _folder(spark)
+    fr.docs(spark, sf_dir).write.parquet(source)
+    return path, jobs.run(spark, source, path, fr.scorer(spark, sf_dir), fmt="parquet")
+
+
+@query
+def run_summary(spark, sf_dir):
+    """The record of a complete run but for its time and paths."""
+    path, _ = _fixed_run(spark, sf_dir)
+    saved = spark.read.schema("processed_docs long, top_n long, elapsed_seconds double").json(f"{path}/runs")
+    return saved.select("processed_docs", "top_n", (F.col("elapsed_seconds") > 0).alias("timed"))
+
+
+@query
+def run_label_counts(spark, sf_dir):
+    """What a complete run with a fixed model has saved."""
+    path, _ = _fixed_run(spark, sf_dir)
+    saved = readers.read_predictions(spark, f"{path}/predictions", "parquet")
+    return jobs.label_distribution(saved, "group")
+
+
+@query
+def scored_sources(spark, sf_dir):
+    """Two unlabelled sources scored with their category in front of the text."""
+    sources = [s.drop("label") for s in _sources(spark, sf_dir)]
+    return jobs.label_distribution(jobs.score_sources(sources, fr.scorer(spark, sf_dir)))
+
+
+@query
+def training_metadata(spark, sf_dir):
+    """Fields of the saved record of a training, without its time."""
+    path = _folder(spark)
+    rows = fr.labelled(spark, sf_dir, "lang").select(
+        "row_id", F.col("sentiment").alias("label"), F.col("lang").alias("category"), F.lit("documents").alias("source_dataset")
+    )
+    scores = spark.createDataFrame([(0, "baseline", 0.9, 0.8, True)], selection.SCORES + ", selected boolean")
+    record = metadata.training_record(rows, scores, _pairs(spark, sf_dir), candidates.CANDIDATES[0])
+    writers.write_json(record, path)
+    saved = spark.read.json(path)
+    by_label = [
+        F.coalesce(F.col(f"training_data.rows_by_label.{c}"), F.lit(0)).cast("long").alias(c) for c in lb.SENTIMENTS
+    ]
+    return saved.select(
+        "selected_candidate", "training_data.total_rows", *by_label,
+        F.round("metrics.accuracy", 6).alias("accuracy"), F.round("metrics.f1_macro", 6).alias("f1_macro"),
+        F.size("confusion_matrix").cast("long").alias("cells"), "random_state",
+        F.col("created_at").isNotNull().alias("timed"),
+    )
+
+
 @query
 def runs_roundtrip(spark, sf_dir):
     path = _folder(spark)
@@ -602,10 +738,13 @@ def runs_roundtrip(spark, sf_dir):
 
 # Models (no SQL: iterative fits) -------------------------------------------------------
 
+#: Labelled rows that a model is fitted on at most; more are sampled.
+TRAINING_ROWS = 60_000
+
 
 def _training(spark, sf_dir):
     rows = fr.labelled(spark, sf_dir, "lang").withColumnRenamed("sentiment", "label")
-    built = documents.model_input(rows, category="lang")
+    built = documents.model_input(documents.exact_sample(rows, TRAINING_ROWS), category="lang")
     return scale.materialise(
         documents.stratified_split(built.select("row_id", "group", "label", "model_input"), 0.2)
     )
@@ -671,6 +810,28 @@ def relational_logreg(spark, sf_dir):
     return scores.select("row_id", scoring.best_class().alias("predicted_sentiment"))
 
 
+@query
+def relational_training(spark, sf_dir):
+    """Labels by a model that was trained without its coefficients in the driver."""
+    rows = _training(spark, sf_dir)
+    train = rows.where(F.col("split") == "train")
+    found = features.corpus_statistics(train, fr.BIGRAMS, "model_input")
+    n = train.count()
+    vocabulary = scale.rewritten(
+        features.with_idf(features.document_frequency(found, n, fr.BIGRAMS), n).select("term", "idf"), "vocabulary"
+    )
+    size = vocabulary.count()
+    weighed = features.term_frequencies(rows, fr.BIGRAMS.terms, "model_input")
+    weighed = scale.rewritten(features.weigh(weighed, vocabulary, size, fr.BIGRAMS.sublinear), "weights")
+    weights_of = {r["label"]: r["class_weight"] for r in candidates.class_weights(train).collect()}
+    fitted = relational.train(weighed, train.select("row_id", "label"), 1.0, weights_of, tolerance=1e-3)
+    kept = rows.select("row_id").join(weighed, "row_id", "left")
+    scores = scoring.linear_scores(kept, fitted.weights, size, fitted.intercepts)
+    return rows.select("row_id", "split", "label").join(
+        scores.select("row_id", scoring.best_class().alias("predicted_sentiment")), "row_id"
+    )
+
+
 @query
 def model_selection(spark, sf_dir):
     train = _training(spark, sf_dir).where(F.col("split") == "train").drop("split")

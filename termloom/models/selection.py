@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,12 +25,17 @@ SCORES = "candidate_index int, model_name string, accuracy double, f1_macro doub
 PAIRS = "candidate_index int, model_name string, actual string, predicted string, count long"
 
 
-def predicted(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """``keep`` and ``predicted_sentiment``; one pass over the rows, no shuffle."""
-    return model.transform(df).select(*keep, "predicted_sentiment")
+#: A fitted pipeline, or a function that adds ``predicted_sentiment`` to rows with ``model_input``.
+Model = PipelineModel | Callable[[DataFrame], DataFrame]
 
 
-def evaluate(model: PipelineModel, df: DataFrame, label: str = "label") -> DataFrame:
+def predicted(model: Model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """``keep`` and ``predicted_sentiment``; a pipeline needs one pass and no shuffle."""
+    scored = model.transform(df) if isinstance(model, PipelineModel) else model(df)
+    return scored.select(*keep, "predicted_sentiment")
+
+
+def evaluate(model: Model, df: DataFrame, label: str = "label") -> DataFrame:
     """Pair counts of a model on labelled rows, ready for all metrics."""
     pairs = predicted(model, df, [F.col(label).alias("actual")])
     return materialise(pair_counts(pairs.withColumnRenamed("predicted_sentiment", "predicted")))

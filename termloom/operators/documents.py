@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators.scale import cutoffs, id_bucket, id_range, lookup_join
+from termloom.operators.scale import cutoffs, lookup_join, with_pieces
 
 
 def normalise(
@@ -99,8 +99,8 @@ def first_rows(df: DataFrame, n: int, row_id: str = "row_id") -> DataFrame:
     """
     if n <= 0:
         return df.limit(0)
-    bucket = id_bucket(row_id, *id_range(df, row_id))
-    found = cutoffs(df, [], row_id, bucket, lambda _: F.lit(n)).first()
+    placed = with_pieces(df.select(row_id), row_id)
+    found = cutoffs(placed, [], row_id, F.col("_piece"), lambda _: F.lit(n)).first()
     return df.limit(0) if found is None else df.where(F.col(row_id) <= found["cutoff"])
 
 

@@ -104,11 +104,14 @@ def term_statistics(frequencies: DataFrame) -> DataFrame:
     )
 
 
-def document_frequency(statistics: DataFrame, n_docs: int, settings: Features) -> DataFrame:
+def document_frequency(
+    statistics: DataFrame, n_docs: int, settings: Features, stored: bool = False
+) -> DataFrame:
     """Term statistics within the cuts ``min_df``, ``max_df`` and ``max_features``.
 
     Terms with equal occurrences at the ``max_features`` border are taken in the
-    order of their MD5, which cuts evenly however many there are.
+    order of their MD5, which cuts evenly however many there are. ``stored``: the statistics are
+    a table already and need no copy.
     """
     kept = statistics.where(
         (F.col("df") >= settings.min_df)
@@ -116,7 +119,7 @@ def document_frequency(statistics: DataFrame, n_docs: int, settings: Features) -
     )
     if settings.max_features is None:
         return kept
-    return most_frequent(materialise(kept), settings.max_features)
+    return most_frequent(kept if stored else materialise(kept), settings.max_features)
 
 
 def most_frequent(statistics: DataFrame, n: int) -> DataFrame:

@@ -12,6 +12,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 # Copies of a lookup side, and pieces of a hot key, in the salted join (power of 2).
 SALTS = 32
-# Most pieces of a row-id range, and the smallest width of a piece.
+# Most pieces of the row ids, and the rows in a piece of smaller tables.
 ID_PIECES = 4096
-PIECE_WIDTH = 65_536
+PIECE_ROWS = 65_536
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,6 +55,11 @@ def written(df: DataFrame, name: str) -> str:
     return path
 
 
+def rewritten(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a written table, read again: computed once, its lineage cut."""
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a scan that would keep most cores idle; leave others alone.
 
@@ -89,14 +95,33 @@ def lookup_join(
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")
 
 
-def id_bucket(row_id: str, low: int, high: int, width: int = PIECE_WIDTH) -> Column:
-    """Piece of the id range that a row lies in; never decreases with the id.
+def id_borders(df: DataFrame, row_id: str, rows: int = PIECE_ROWS) -> list[float]:
+    """Ascending ids that cut the rows into pieces of about ``rows`` (at most ``ID_PIECES``).
 
-    Even for dense ids and for ids spread over all 64-bit numbers.
+    An equi-depth histogram from one quantile sketch, so that a few far ids or dense
+    clusters leave no piece much larger than the others.
     """
-    width = max(width, -(-(high - low + 1) // ID_PIECES))
-    distance = F.col(row_id).cast("double") - F.lit(float(low))
-    return F.floor(distance / F.lit(float(width))).cast("long")
+    pieces = min(ID_PIECES, -(-df.count() // rows))
+    if pieces <= 1:
+        return []
+    shares = [k / pieces for k in range(1, pieces)]
+    found = df.agg(F.percentile_approx(row_id, shares, 16 * pieces)).first()[0]
+    return sorted({float(x) for x in found or ()})
+
+
+def with_pieces(
+    df: DataFrame, row_id: str, rows: int = PIECE_ROWS, name: str = "_piece"
+) -> DataFrame:
+    """Add the piece of a row (see ``id_borders``); it never decreases with the id."""
+    borders = id_borders(df, row_id, rows)
+    if not borders:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    ends = float("inf")
+    cut = Bucketizer(
+        splits=[-ends, *borders, ends], inputCol="_place", outputCol=name, handleInvalid="keep"
+    )
+    placed = cut.transform(df.withColumn("_place", F.col(row_id).cast("double")))
+    return placed.withColumn(name, F.col(name).cast("long")).drop("_place")
 
 
 def id_range(df: DataFrame, row_id: str) -> tuple[int, int]:
@@ -150,17 +175,17 @@ def ordinals(
     keys: Sequence[str],
     row_id: str = "row_id",
     name: str = "ordinal",
-    width: int = PIECE_WIDTH,
+    rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Add the 0-based position of a row among rows with equal ``keys``, by row id.
 
-    Rows are numbered inside (keys, piece of the id range); the count of earlier
+    Rows are numbered inside (keys, piece of the ids); the count of earlier
     pieces is added afterwards, so a key that holds a third of all rows is spread
-    over up to ``ID_PIECES`` tasks. The frame is read three times: materialise what
-    is expensive to make, and keep ``keys`` narrow, see ``digest``.
+    over up to ``ID_PIECES`` tasks, however its ids lie. The frame is read four times:
+    materialise what is expensive to make, and keep ``keys`` narrow, see ``digest``.
     """
     keys = list(keys)
-    pieces = df.withColumn("_piece", id_bucket(row_id, *id_range(df, row_id), width))
+    pieces = with_pieces(df, row_id, rows)
     counted = pieces.groupBy(*keys, "_piece").agg(F.count("*").alias("_rows"))
     earlier = W.partitionBy(*keys).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     # Only keys that reach into a second piece have an offset.
@@ -218,6 +243,30 @@ def number_rows(df: DataFrame, name: str = "row_id") -> DataFrame:
     return _numbered(placed, ["_part", "_chunk"], "_index", name)
 
 
+def number_records(df: DataFrame, name: str = "row_id") -> DataFrame:
+    """Number the records of a file scan 0..n-1 by file path and place in the file.
+
+    For formats whose files are read by one task each (multi-line CSV): the place is the
+    running number of the task less the file's first one. Nothing is written again; the
+    files are read twice, the first time without their columns.
+    """
+    placed = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.monotonically_increasing_id().alias("_running"),
+    )
+    firsts = materialise(
+        placed.groupBy("_file").agg(F.min("_running").alias("_first"), F.count("*").alias("_rows"))
+    )
+    earlier = W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)
+    start = F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first")
+    # One row per file: small enough for one ordered window.
+    offsets = materialise(firsts.select("_file", start.alias("_offset")))
+    joined = lookup_join(placed, offsets, ["_file"], offsets.count(), "_running")
+    number = (F.col("_running") + F.col("_offset")).cast("long").alias(name)
+    return joined.select(number, *df.columns)
+
+
 def number_files(spark: SparkSession, path: str, name: str = "row_id") -> DataFrame:
     """Read parquet with rows numbered 0..n-1 by file path and place in the file.
 

@@ -186,6 +186,74 @@ def merged_top_terms(report: DataFrame, n: int = 10) -> DataFrame:
     return top_terms(merged, n)
 
 
+def bounded_top_terms(
+    counts: DataFrame, n: int = 10, listed: int = 20, group: str = "group"
+) -> DataFrame:
+    """The exact ``n`` most frequent terms per sentiment over all groups, from short lists.
+
+    Every group keeps only its ``listed`` most frequent terms. The last count on a full list
+    bounds every term that is not on it, so a term has a lower bound (what lists
+    say) and an upper one (with the last counts of lists that lack it). Terms whose upper
+    bound reaches the n-th lower bound are counted exactly in a second pass; terms on no list
+    are bounded by the sum of the last counts, and take part unless that is too small.
+    Returns ``sentiment, term, lower, upper, count, rank``; ties are ordered by term.
+    """
+    keys = ["sentiment", group]
+    lists = materialise(top_terms(counts, listed, keys))
+    last = F.when(F.count("*") >= listed, F.min("count")).otherwise(0)
+    ends = lists.groupBy(*keys).agg(last.alias("last"))
+    totals = ends.groupBy("sentiment").agg(F.sum("last").alias("unseen"))
+    named = ends.select(F.col("sentiment").alias("_sentiment"), F.col(group).alias("_group"), "last")
+    same = F.col("sentiment").eqNullSafe(F.col("_sentiment")) & F.col(group).eqNullSafe(F.col("_group"))
+    seen = lists.join(named, same).select("sentiment", "term", "count", "last")
+    bounds = seen.groupBy("sentiment", "term").agg(
+        F.sum("count").alias("lower"), F.sum("last").alias("own")
+    )
+    bounds = bounds.join(totals, "sentiment").select(
+        "sentiment", "term", "lower", (F.col("lower") + F.col("unseen") - F.col("own")).alias("upper"), "unseen"
+    )
+    # Lists of one sentiment together are short: ``listed`` terms for each group.
+    place = F.row_number().over(W.partitionBy("sentiment").orderBy(F.desc("lower"), "term"))
+    bounds = materialise(bounds.withColumn("_place", place))
+    border = bounds.where(F.col("_place") <= n).groupBy("sentiment").agg(
+        F.min("lower").alias("border"), F.count("*").alias("_held"), F.max("unseen").alias("unseen")
+    )
+    border = border.withColumn("border", F.when(F.col("_held") >= n, F.col("border")).otherwise(0))
+    bounds = bounds.drop("unseen", "_place")
+    summed = counts.groupBy("sentiment", "term").agg(F.sum("count").alias("count"))
+    asked = bounds.join(border, "sentiment").where("upper >= border").select(*bounds.columns)
+    exact = asked.join(summed, ["sentiment", "term"])
+    # Where even a term on no list could reach the border, all terms are counted.
+    open_ = border.where("unseen >= border").select("sentiment", "unseen")
+    rest = summed.join(open_, "sentiment").join(bounds.select("sentiment", "term"), ["sentiment", "term"], "left_anti")
+    rest = rest.select("sentiment", "term", F.lit(0).cast("long").alias("lower"), F.col("unseen").alias("upper"), "count")
+    return top_terms(exact.unionByName(rest), n, ["sentiment"])
+
+
+def term_sketches(df: DataFrame, keys: Sequence[str] = ("sentiment",), tokenise: Tokeniser | None = None) -> DataFrame:
+    """One mergeable sketch of the distinct terms per group: ``keys, sketch``.
+
+    A few kilobytes a group, whatever the number of terms; write it as a table and unite
+    any groups later with ``distinct_terms``.
+    """
+    tokenise = tokenise or tx.report_tokens
+    tokens = df.select(*keys, F.explode(tokenise(F.col("text"))).alias("term"))
+    return tokens.groupBy(*keys).agg(F.hll_sketch_agg("term", F.lit(SKETCH)).alias("sketch"))
+
+
+def distinct_terms(sketches: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Estimated distinct terms by ``keys`` from the sketches of any finer groups.
+
+    The standard error is 1.04 / sqrt(2**SKETCH), below one per cent.
+    """
+    united = sketches.groupBy(*keys).agg(F.hll_union_agg("sketch").alias("sketch"))
+    return united.select(*keys, F.hll_sketch_estimate("sketch").alias("distinct_terms"))
+
+
+#: Binary logarithm of the number of registers of a sketch.
+SKETCH = 14
+
+
 def most_common_terms(df: DataFrame, n: int = 20, tokenise: Tokeniser | None = None) -> DataFrame:
     """The ``n`` most frequent terms, ties by first appearance (row id, position)."""
     tokenise = tokenise or tx.check_tokens

@@ -6,13 +6,12 @@ import time
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from termloom.functions import text as tx
 from termloom.functions.labels import REPORT_ORDER
-from termloom.models.selection import predicted
+from termloom.models.selection import Model, evaluate, predicted
 from termloom.operators import documents, metrics, runs, terms
 from termloom.operators.scale import materialise, number_files, number_rows, spread
 from termloom.sources import readers, writers
@@ -20,7 +19,7 @@ from termloom.sources import readers, writers
 
 def score(
     docs: DataFrame,
-    model: PipelineModel,
+    model: Model,
     max_docs: int | None = None,
     category_col: str | None = None,
 ) -> DataFrame:
@@ -39,7 +38,7 @@ def score(
 
 
 def score_sources(
-    sources: Sequence[DataFrame], model: PipelineModel
+    sources: Sequence[DataFrame], model: Model
 ) -> DataFrame:
     """Score a union of sources with the category put in front of the text."""
     rows = documents.model_input(documents.union_sources(sources))
@@ -121,6 +120,15 @@ def prepare_training(
     return documents.stratified_split(keyed, fraction, seed=seed), documents.cleaning_counts(data)
 
 
+def held_out(spark: SparkSession, path: str, model: Model, split: str = "test") -> DataFrame:
+    """Class report of a model on one split of rows saved by ``writers.write_split``.
+
+    Only the folder of the split is read.
+    """
+    rows = readers.read_split(spark, path, split).withColumnRenamed("text", "model_input")
+    return metrics.class_report(evaluate(model, rows, "sentiment"))
+
+
 def label_distribution(predictions: DataFrame, group: str = "category") -> DataFrame:
     """Predicted labels per group and over all groups."""
     return metrics.label_distribution(predictions, group)
@@ -150,7 +158,7 @@ def run(
     spark: SparkSession,
     input_path: str,
     output_dir: str,
-    model: PipelineModel,
+    model: Model,
     fmt: str = "csv",
     text_col: str = "text",
     group_col: str = "group",
@@ -186,6 +194,9 @@ def run(
         name: f"{output_dir.rstrip('/')}/{name}"
         for name in ("predictions", "report", "statistics")
     }
+    # Counted while it is written.
+    seen = Observation("predictions")
+    scored = scored.observe(seen, F.count(F.lit(1)).alias("processed_docs"))
     writers.write_predictions(scored, paths["predictions"], predictions_fmt, ordered=False)
     saved = readers.read_predictions(spark, paths["predictions"], predictions_fmt)
     profile = materialise(terms.corpus_profile(spread(_sentiments(saved), "row_id")))
@@ -194,7 +205,7 @@ def run(
     statistics, overall = work_statistics(saved, profile)
     writers.write_json(writers.statistics_document(statistics, overall), paths["statistics"])
     elapsed = time.perf_counter() - started
-    summary = writers.run_summary(spark, saved.count(), top_n, elapsed, paths)
+    summary = writers.run_summary(spark, seen.get["processed_docs"], top_n, elapsed, paths)
     writers.write_json(summary, f"{output_dir.rstrip('/')}/runs", mode="append")
     return summary
 

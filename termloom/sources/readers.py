@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from termloom.functions.labels import five_class
-from termloom.operators.scale import number_rows
+from termloom.operators.scale import number_records
 
 # Quoted CSV with line breaks inside fields; quotes are doubled inside quotes.
 CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
@@ -93,8 +93,8 @@ def read_labelled(
 
 
 def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
-    """Labelled CSV with ``row_id`` from the position in the input."""
-    return number_rows(read_csv(spark, path))
+    """Labelled CSV with ``row_id`` from the position in the input: by file, then place."""
+    return number_records(read_csv(spark, path))
 
 
 def read_predictions(
@@ -136,6 +136,11 @@ def read_report(
     )
 
 
+def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
+    """Rows ``text, sentiment, group`` of one split; partition pruning leaves its folder only."""
+    return spark.read.parquet(path).where(F.col("split") == split).drop("split")
+
+
 def read_validation(spark: SparkSession, path: str) -> DataFrame:
     """Validation JSON as one row of two structs."""
     return spark.read.option("multiLine", True).schema(VALIDATION).json(path)

@@ -25,17 +25,40 @@ def test_ordinals_equal_a_count_in_row_order(skewed, width):
     for row_id, key in sorted(data):
         expected.append((key, seen.get(key, 0), row_id))
         seen[key] = seen.get(key, 0) + 1
-    found = scale.ordinals(df, ["key"], width=width).select("key", "ordinal", "row_id")
+    found = scale.ordinals(df, ["key"], rows=width).select("key", "ordinal", "row_id")
     assert rows(found) == sorted(expected, key=str)
 
 
-def test_id_bucket_never_decreases_over_all_longs(spark):
+def test_pieces_never_decrease_over_all_longs(spark):
     ids = [-(2**63), -(2**62), -1, 0, 1, 2**53 + 1, 2**62, 2**63 - 1]
     df = spark.createDataFrame([(i,) for i in ids], "row_id long")
-    bucket = scale.id_bucket("row_id", min(ids), max(ids))
-    found = [r["b"] for r in df.select("row_id", bucket.alias("b")).orderBy("row_id").collect()]
-    assert found == sorted(found)
-    assert found[-1] - found[0] <= scale.ID_PIECES
+    for size in (1, 3, 100):
+        placed = scale.with_pieces(df, "row_id", size).orderBy("row_id")
+        found = [r["_piece"] for r in placed.collect()]
+        assert found == sorted(found)
+        assert len(set(found)) <= -(-len(ids) // size)
+    assert scale.with_pieces(df.limit(0), "row_id", 1).count() == 0
+
+
+@pytest.mark.parametrize("far", [[], [2**62], [-(2**62), 2**62], [10**9 + i for i in range(3000)]])
+def test_far_ids_leave_pieces_even(spark, far):
+    ids = [*range(5000), *far]
+    df = spark.createDataFrame([(i,) for i in ids], "row_id long").repartition(4)
+    sizes = [r["count"] for r in scale.with_pieces(df, "row_id", 100).groupBy("_piece").count().collect()]
+    assert max(sizes) <= 2 * len(ids) / len(sizes)
+    assert len(sizes) > 0.8 * len(ids) / 100
+
+
+def test_records_are_numbered_by_file_and_place(spark, folder):
+    from termloom.sources import readers, writers
+
+    data = [(i, f"line {i}\nsecond, \"quoted\"") for i in range(57)]
+    df = spark.createDataFrame(data, "k long, text string").repartitionByRange(4, "k")
+    writers.write_csv(df.sortWithinPartitions("k"), folder)
+    found = scale.number_records(readers.read_csv(spark, folder))
+    assert rows(found.select("row_id", F.col("k").cast("long"))) == sorted(((i, i) for i, _ in data), key=str)
+    assert found.columns == ["row_id", "k", "text"]
+    assert "_metadata" not in found.columns
 
 
 @pytest.mark.parametrize("wanted", [1, 7, 500, 10_000])

@@ -193,3 +193,13 @@ def test_run_end_to_end(spark, tmp_path):
     assert charts["top_positive"].first()["term"] == "great"
     assert charts["label_counts"].count() == 2
     assert charts["confusion_matrix"].count() == 1 and charts["speedup"].count() == 1
+
+
+def test_held_out_rows_come_from_their_folder_alone(spark, folder):
+    data = [(f"t{i}", "positive", "g", "test" if i % 4 == 0 else "train") for i in range(20)]
+    df = spark.createDataFrame(data, "text string, sentiment string, group string, split string")
+    writers.write_split(df, folder)
+    found = readers.read_split(spark, folder, "test")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(split" in plan and "= test)]" in plan
+    assert found.count() == 5 and found.columns == ["text", "sentiment", "group"]

@@ -191,3 +191,38 @@ def test_examples_with_and_without_a_bound(docs, bound):
         assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
     assert found.where("term = 'food' and sentiment = 'positive'").count() == 2
     assert found.where("sentiment = 'negative'").count() == 3
+
+
+def test_bounded_lists_find_a_term_that_no_list_ranks_high(spark):
+    """A term that is just below the cut of every group is the most frequent one of all."""
+    data = []
+    for g in range(6):
+        data += [(f"g{g}", "positive", f"own{g}_{i}", 50 + i) for i in range(4)]
+        data.append((f"g{g}", "positive", "everywhere", 49))
+        data += [(f"g{g}", "positive", f"rare{g}_{i}", 1) for i in range(5)]
+    data.append((None, "positive", "own0_0", 7))
+    data.append(("g1", "negative", "single", 3))
+    counts = spark.createDataFrame(data, "group string, sentiment string, term string, count long")
+    summed = Counter()
+    for _, sentiment, term, count in data:
+        summed[sentiment, term] += count
+    for listed in (2, 4, 5, 50):
+        found = terms.bounded_top_terms(counts, 5, listed).collect()
+        want = sorted(((-c, t) for (s, t), c in summed.items() if s == "positive"))[:5]
+        got = sorted((r["rank"], r["term"], r["count"]) for r in found if r["sentiment"] == "positive")
+        assert [(t, c) for _, t, c in got] == [(t, -c) for c, t in want]
+        assert got[0][1] == "everywhere"
+        assert all(r["lower"] <= r["count"] <= r["upper"] for r in found)
+        assert [(r["term"], r["count"]) for r in found if r["sentiment"] == "negative"] == [("single", 3)]
+
+
+def test_sketches_unite_over_groups(spark):
+    data = [(i, f"g{i % 7}", "positive" if i % 3 else "negative", f"word{i % 900} other{i}") for i in range(3000)]
+    df = spark.createDataFrame(data, "row_id long, group string, sentiment string, text string")
+    sketches = terms.term_sketches(df, ["group", "sentiment"], tx.plain_tokens)
+    exact = df.select("sentiment", F.explode(tx.plain_tokens(F.col("text"))).alias("term"))
+    for keys in ([], ["sentiment"]):
+        want = {tuple(r)[:-1]: r["n"] for r in exact.groupBy(*keys).agg(F.countDistinct("term").alias("n")).collect()}
+        found = {tuple(r)[:-1]: r["distinct_terms"] for r in terms.distinct_terms(sketches, keys).collect()}
+        assert found.keys() == want.keys()
+        assert all(found[k] == pytest.approx(want[k], rel=0.03) for k in want)
