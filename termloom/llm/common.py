@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,15 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return column.fill_null("").cast(pa.binary()).to_pylist()
 
 
+def slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``size`` bytes of text (at least one row): what is held at once."""
+    sizes = pc.binary_length(batch["text"]).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // size)) + 1
+    for a, b in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
 class WordHashes(dict):
     """64-bit hash of a word; words seen are remembered up to a bound."""
 
@@ -59,6 +70,13 @@ class WordHashes(dict):
     def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+    def of_texts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words of all texts one after the other, and the words of each text."""
+        lists = [t.split() for t in texts]
+        sizes = np.array([len(words) for words in lists], np.int64)
+        every = map(self.__getitem__, itertools.chain.from_iterable(lists))
+        return np.fromiter(every, np.uint64, int(sizes.sum())), sizes
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """Bijective 64-bit mixer."""

@@ -28,15 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import let, text_bytes, words_of
+from termloom.llm.common import let, slices, text_bytes, words_of
 
 TIMES = 4
 LEAST = 6
 #: 15 * 2**27 + 1, and a generator of its multiplicative group.
 PRIME = 2013265921
 GENERATOR = 31
-#: Numbers that are transformed at once.
+#: Numbers that are transformed at once, and bytes of text.
 ENTRIES = 1 << 18
+BYTES = 1 << 21
 
 
 @functools.cache
@@ -235,17 +236,18 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t.split() for t in text_bytes(batch["text"])]
-            found = batch_runs(texts)
-            flat = np.array([r for runs in found for r in runs], np.int64).reshape(-1, 3)
-            ends = np.concatenate(([0], np.cumsum([len(runs) for runs in found]))).astype(np.int32)
-            structs = pa.StructArray.from_arrays([pa.array(c) for c in flat.T], fields=list(run_type))
-            lists = pa.ListArray.from_arrays(pa.array(ends), structs)
-            sizes = pa.array([len(t) for t in texts], pa.int64())
-            kept = [collapsed(t, runs).decode() for t, runs in zip(texts, found, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], sizes, lists, pa.array(kept, pa.string())], ["doc_id", "n_words", "runs", "text"]
-            )
+            for part in slices(batch, BYTES):
+                texts = [t.split() for t in text_bytes(part["text"])]
+                found = batch_runs(texts)
+                flat = np.array([r for runs in found for r in runs], np.int64).reshape(-1, 3)
+                ends = np.concatenate(([0], np.cumsum([len(runs) for runs in found]))).astype(np.int32)
+                structs = pa.StructArray.from_arrays([pa.array(c) for c in flat.T], fields=list(run_type))
+                lists = pa.ListArray.from_arrays(pa.array(ends), structs)
+                sizes = pa.array([len(t) for t in texts], pa.int64())
+                kept = [collapsed(t, runs).decode() for t, runs in zip(texts, found, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], sizes, lists, pa.array(kept, pa.string())], ["doc_id", "n_words", "runs", "text"]
+                )
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(run, SCHEMA)

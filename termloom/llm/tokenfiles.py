@@ -40,9 +40,11 @@ from termloom.llm.common import kept, mark
 SEGMENT = 1 << 19
 SAMPLE = 512
 END = 0
-#: Characters of text that are encoded at once, and pieces whose ids are remembered.
+#: Characters of text that are encoded at once, pieces whose ids are remembered, and pieces that
+#: are encoded in one call.
 CHARACTERS = 1 << 21
-MOST = 500_000
+MOST = 1_000_000
+LINES = 5_000
 
 
 # --- Elias-Fano code of an ascending list of offsets
@@ -122,18 +124,20 @@ _CUT = re.compile(r"(?<=\S)(?= )")
 _BLANKS = re.compile(r"\s ")
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut before every blank that follows a character which is no space."""
-    if not text:
-        return []
-    if _BLANKS.search(text):
-        return _CUT.split(text)
-    first, *rest = text.split(" ")
-    return [*([first] if first else []), *[" " + r for r in rest]]
+def pieces(text: str) -> tuple[str, list[str]]:
+    """The text cut before every blank that follows a character which is no space: what stands
+    before the first cut or blank, and what follows the blank of each later piece."""
+    if not _BLANKS.search(text):
+        head, *rest = text.split(" ")
+        return head, rest
+    head, *rest = _CUT.split(text)
+    if head.startswith(" "):
+        return "", [head[1:], *(r[1:] for r in rest)]
+    return head, [r[1:] for r in rest]
 
 
 class Encoder:
-    """Texts to the bytes of their ids."""
+    """Texts to the bytes of their ids. Remembers the ids of up to ``MOST`` pieces."""
 
     def __init__(self, settings: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
@@ -144,22 +148,65 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.separable = separable(json.loads(settings))
         self.kind = id_type(self.tokenizer.get_vocab_size())
-        self.known: dict[str, bytes] = {}
+        self.line = self._ids(["\n"])[0]
+        self.heads: dict[str, bytes] = {}
+        self.rest: dict[str, bytes] = {}
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+        return [np.array(e.ids, self.kind) for e in found]
+
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        return [ids.tobytes() for ids in self._ids(texts)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Remember the ids of pieces that follow a blank, many lines of them in one call.
+
+        A line end before a blank is a piece of its own, so its id parts the lines.
+        """
+        lines = [w for w in new if w and not (w[0].isspace() or w[-1].isspace() or "\n" in w)]
+        size = np.dtype(self.kind).itemsize
+        for k in range(0, len(lines), LINES):
+            part = lines[k : k + LINES]
+            ids = self._ids(["\n".join([" " + w for w in part])])[0]
+            ends = np.flatnonzero(ids == self.line[0]) * size if len(self.line) == 1 else ()
+            if len(ends) == len(part) - 1:
+                raw, starts = ids.tobytes(), [0, *(ends + size).tolist()]
+                cut = [raw[a:b] for a, b in zip(starts, [*ends.tolist(), len(raw)], strict=True)]
+                self.rest.update(zip(part, cut, strict=True))
+        left = [w for w in new if w not in self.rest]
+        self.rest.update(zip(left, self._encoded([" " + w for w in left]), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes, in the order of the texts."""
         if not self.separable:
             return self._encoded(texts)
+        if len(self.rest) > MOST:
+            self.rest.clear()
+        if len(self.heads) > MOST:
+            self.heads.clear()
         cut = [pieces(t) for t in texts]
-        if len(self.known) > MOST:
-            self.known.clear()
-        new = list({p for c in cut for p in c if p not in self.known})
-        self.known.update(zip(new, self._encoded(new), strict=True))
-        return [b"".join([self.known[p] for p in c]) for c in cut]
+        new = list({h for h, _ in cut}.difference(self.heads))
+        self.heads.update(zip(new, self._encoded(new), strict=True))
+        known = self.rest.get
+        found = [list(map(known, r)) for _, r in cut]
+        short = [i for i, ids in enumerate(found) if None in ids]
+        self._learn(list({w for i in short for w, x in zip(cut[i][1], found[i], strict=True) if x is None}))
+        for i in short:
+            found[i] = list(map(known, cut[i][1]))
+        return [self.heads[h] + b"".join(ids) for (h, _), ids in zip(cut, found, strict=True)]
+
+
+def encoder(settings: str) -> Encoder:
+    """The encoder of this Python worker: kept with the imported library, so that later tasks of
+    the worker find what it remembers."""
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_encoders_of_this_worker", {})
+    if settings not in held:
+        held.clear()
+        held[settings] = Encoder(settings)
+    return held[settings]
 
 
 def id_type(vocabulary: int) -> str:
@@ -220,7 +267,7 @@ def segments(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, segment, seq, part = None, Segment(), 0, 0
         for batch in batches:
-            encode = encode or Encoder(sent.value)
+            encode = encode or encoder(sent.value)
             size = np.dtype(encode.kind).itemsize
             end = np.array([END], encode.kind).tobytes()
             numbers = iter(batch["doc_id"].to_pylist())

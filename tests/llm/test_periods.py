@@ -5,9 +5,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from termloom.llm import periods, queries
+from termloom.llm.common import slices
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -76,6 +78,14 @@ def test_runs_equal_a_search_of_every_period(monkeypatch, entries):
         assert periods.collapsed(words, runs) == collapsed(words, runs)
 
 
+def test_slices_of_a_batch_hold_every_row():
+    texts = ["", None, "a" * 25, "b", "cc", None, "d" * 9, "e"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    found = [part["text"].to_pylist() for part in slices(batch, 10)]
+    assert [t for part in found for t in part] == texts and len(found) > 2
+    assert list(slices(batch.slice(0, 0), 10)) == []
+
+
 def test_long_texts():
     unit = [b"%d" % i for i in range(5000)]
     noise = [b"n%d" % i for i in range(777)]
