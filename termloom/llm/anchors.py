@@ -48,16 +48,18 @@ def sliding_least(hashes: np.ndarray, window: int) -> np.ndarray:
     return (low & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def units(owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First window and number of windows of each run of equal owners."""
-    cuts = np.flatnonzero(np.diff(owners)) + 1
-    first = np.concatenate(([0], cuts))
+def units(owners: np.ndarray, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of each run of equal owners (and equal ``rows``)."""
+    new = owners[1:] != owners[:-1]
+    if rows is not None:
+        new |= rows[1:] != rows[:-1]
+    first = np.concatenate(([0], np.flatnonzero(new) + 1))
     return first, np.diff(np.concatenate((first, [len(owners)])))
 
 
-def spot(mark_value: int, first: np.ndarray) -> np.ndarray:
+def spot(marks: int | np.ndarray, first: np.ndarray) -> np.ndarray:
     """Mark of the text and place of the first window in one long."""
-    return (np.int64(mark_value) << np.int64(32)) | first.astype(np.int64)
+    return (np.asarray(marks, np.int64) << np.int64(32)) | first.astype(np.int64)
 
 
 def mark_of(column: str = "spot") -> Column:

@@ -33,41 +33,50 @@ from termloom.llm.anchors import (
     spot,
     units,
 )
-from termloom.llm.common import Ranges, WordHashes, grams, kept, signed, text_bytes
+from termloom.llm.common import Ranges, WordHashes, grams, kept, signed, slices, text_bytes
 
 WINDOW = 13
 BLOCK = 7
 GRAM = 4
 SECOND = 0xD6E8FEB86659FD93  # multiplier of the second hash of a window
+#: Bytes of text that are worked on at once.
+BYTES = 1 << 22
 
 
-def _units(docs: DataFrame) -> DataFrame:
-    """``id, spot, k, e, shape`` (number of windows) for every unit of every document."""
+def _units(docs: DataFrame, whole: bool) -> DataFrame:
+    """``id, k`` of every unit of every document; with ``whole`` also ``spot, e, shape`` (the
+    number of windows), which only the units that share a gram need."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
-            out: list[list[np.ndarray]] = [[] for _ in range(5)]
-            rows = zip(batch["id"].to_pylist(), batch["mark"].to_pylist(), text_bytes(batch["text"]), strict=True)
-            for number, mark, text in rows:
-                hashes = words.of(text.split())
+            for part in slices(batch, BYTES):
+                hashes, sizes = words.of_texts(text_bytes(part["text"]))
                 if len(hashes) < WINDOW:
                     continue
+                # All documents of the slice at once; windows that cross from one to the next go.
+                begin = np.cumsum(sizes) - sizes
+                owner = np.repeat(np.arange(len(sizes)), np.maximum(sizes - WINDOW + 1, 0))
+                if not len(owner):
+                    continue
+                counts = np.maximum(sizes - WINDOW + 1, 0)
+                place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+                windows = begin[owner] + place
                 small = grams(hashes, GRAM)
-                owners = sliding_least(small, WINDOW - GRAM + 1)
-                first, count = units(owners)
-                whole = Ranges(hashes).hashes(first, first + count + WINDOW - 1)
-                out[0].append(np.full(len(first), number, np.int64))
-                out[1].append(spot(mark, first))
-                out[2].append(small[owners[first]])
-                out[3].append(whole + count.astype(np.uint64))
-                out[4].append(count)
-            if out[0]:
-                made = [signed(np.concatenate(c)) for c in out[:4]] + [np.concatenate(out[4]).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], ["id", "spot", "k", "e", "shape"])
-
-    rows = docs.select("id", "mark", "text")
-    return rows.mapInArrow(run, "id long, spot long, k long, e long, shape int")
+                owners = sliding_least(small, WINDOW - GRAM + 1)[windows]
+                first, count = units(owners, owner)
+                row = owner[first]
+                columns = [part["id"].to_numpy(zero_copy_only=False)[row], signed(small[owners[first]])]
+                if whole:
+                    start = windows[first]
+                    every = Ranges(hashes).hashes(start, start + count + WINDOW - 1)
+                    marks = part["mark"].to_numpy(zero_copy_only=False)[row]
+                    columns += [spot(marks, place[first]), signed(every + count.astype(np.uint64)), count.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    names = ["id", "k", "spot", "e", "shape"] if whole else ["id", "k"]
+    schema = "id long, k long, spot long, e long, shape int" if whole else "id long, k long"
+    return docs.select("id", "mark", "text").mapInArrow(run, schema)
 
 
 def _opened(docs: DataFrame, open_classes: DataFrame) -> DataFrame:
@@ -76,19 +85,24 @@ def _opened(docs: DataFrame, open_classes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:
-            rows = []
-            for number, text, places in zip(
-                batch["id"].to_pylist(), text_bytes(batch["text"]), batch["places"].to_pylist(), strict=True
-            ):
-                hashes = signed(cache.of(text.split()))
-                for p in places:
-                    part = hashes[p["at"] : p["at"] + p["shape"] + WINDOW - 1]
-                    rows.append((number, p["k"], p["e"], p["at"], part))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            types = [pa.int64()] * 4 + [pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["id", "k", "e", "at", "words"]
-            )
+            for part in slices(batch, BYTES):
+                hashes, sizes = cache.of_texts(text_bytes(part["text"]))
+                begin = np.cumsum(sizes) - sizes
+                counts = part["places"].value_lengths().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(len(sizes)), counts)
+                places = part["places"].flatten()
+                at, shape, k, e = (
+                    places.field(c).to_numpy(zero_copy_only=False) for c in ("at", "shape", "k", "e")
+                )
+                lengths = shape.astype(np.int64) + WINDOW - 1
+                ends = np.cumsum(lengths)
+                taken = np.arange(lengths.sum()) + np.repeat(begin[row] + at - (ends - lengths), lengths)
+                offsets = np.concatenate(([0], ends)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(signed(hashes[taken])))
+                numbers = part["id"].to_numpy(zero_copy_only=False)[row]
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(c) for c in (numbers, k, e, at)], lists], ["id", "k", "e", "at", "words"]
+                )
 
     texts = docs.select("id", "mark", "text").join(asked(open_classes), ["id", "mark"])
     return texts.select("id", "text", "places").mapInArrow(
@@ -130,9 +144,8 @@ def _emitted(opened: DataFrame, what: str) -> DataFrame:
 
 def repeats(rows: DataFrame) -> DataFrame:
     """``id, mark, runs``: starts and counts of the windows that an earlier document has."""
-    found = _units(rows)
-    shared = found.groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
-    live = kept(found.join(kept(shared.select("k"), "grams"), "k", "left_semi"), "units")
+    shared = _units(rows, False).groupBy("k").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b")
+    live = kept(_units(rows, True).join(kept(shared.select("k"), "grams"), "k", "left_semi"), "units")
     classes = kept(by_class(live), "classes")
     opened = kept(_opened(rows, classes.where("classes > 1")), "opened")
 
