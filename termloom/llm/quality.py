@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.llm.common import SPACE, kept, let, words_of
+from termloom.llm.common import kept, let, words_of
 from termloom.operators import scale
 
 MIN_WORDS = 50

@@ -341,3 +341,9 @@ def test_pipeline(spark, docs, clashing, tmp_path):
     for frame in (docs.limit(0), clashing):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, frame, folder).collect()
+    # Computed columns win over the input's of the same name, which are renamed.
+    made = ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    ours = corpus_pipeline.sharding_tree(spark, clashing, folder)
+    plain = corpus_pipeline.sharding_tree(spark, docs, folder)
+    assert sorted(map(str, ours.select(made).collect())) == sorted(map(str, plain.select(made).collect()))
+    assert {(r["input_size"], r["input_shard"], r["input_slot"]) for r in ours.collect()} == {("?",) * 3}

@@ -133,3 +133,18 @@ def test_linked_secrets(spark, docs, clashing, empty, rows):
     for frame in (docs, clashing):
         assert secrets.secrets(frame).count() == len(rows)
     assert secrets.secrets(empty).count() == 0
+
+
+def test_long_parts_are_linked(spark):
+    token = "aB3" + "xY7zQ9kLm2" * 15
+    host = "https://example.org/" + "p" * 400
+    text = f"user: bob77\n{token}\nat {host}"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = secrets.secrets(docs).first()["spans"].split(",")
+    assert [x.split(":")[0] for x in spans] == ["login", "opaque", "endpoint"]
+    assert spans[1] == f"opaque:{text.index(token)}:{text.index(token) + len(token)}"
+    assert spans[2] == f"endpoint:{text.index(host)}:{len(text)}"
+
+
+def test_shape_of_a_whole_word():
+    assert pii.shape("a" * 70 + "1") == pii.shape("a1").replace("xd", "xxd")
