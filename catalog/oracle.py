@@ -505,7 +505,7 @@ def oracle_sql() -> dict[str, str]:
             ends AS (SELECT sentiment, grp, CASE WHEN count(*) >= 20 THEN min(count) ELSE 0 END AS last
                      FROM lists GROUP BY ALL),
             totals AS (SELECT sentiment, sum(last) AS unseen FROM ends GROUP BY sentiment),
-            bounds AS (SELECT sentiment, term, sum(count)::BIGINT AS lower,
+            bounds AS (SELECT lists.sentiment, term, sum(count)::BIGINT AS lower,
                               (sum(count) - sum(last))::BIGINT AS most
                        FROM lists JOIN ends ON lists.sentiment = ends.sentiment
                          AND lists.grp IS NOT DISTINCT FROM ends.grp GROUP BY ALL),

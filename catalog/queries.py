@@ -273,17 +273,14 @@ def distinct_term_sketches(spark, sf_dir):
     terms.term_sketches(rows, ["group", "sentiment"]).write.parquet(path)
     saved = spark.read.parquet(path)
     exact = scale.materialise(terms.term_counts(rows))
-    everything = F.lit("all").alias("sentiment")
-    pairs = [
-        (terms.distinct_terms(saved, ["sentiment"]), exact.groupBy("sentiment").agg(F.count("*").alias("exact"))),
-        (
-            terms.distinct_terms(saved).select(everything, "distinct_terms"),
-            exact.agg(F.countDistinct("term").alias("exact")).select(everything, "exact"),
-        ),
-    ]
+    by_sentiment = terms.distinct_terms(saved, ["sentiment"]).join(
+        exact.groupBy("sentiment").agg(F.count("*").alias("exact")), "sentiment"
+    )
+    whole = exact.agg(F.countDistinct("term").alias("exact")).scalar().alias("exact")
+    overall = terms.distinct_terms(saved).select(F.lit("all").alias("sentiment"), "distinct_terms", whole)
     near = F.abs(F.col("distinct_terms") - F.col("exact")) <= 0.03 * F.col("exact")
-    found = [a.join(b, "sentiment").select("sentiment", "exact", near.alias("within_error")) for a, b in pairs]
-    return found[0].unionByName(found[1])
+    both = by_sentiment.unionByName(overall)
+    return both.select("sentiment", "exact", near.alias("within_error"))
 
 
 @query
