@@ -15,7 +15,17 @@ from pyspark.sql import functions as F
 
 from termloom.functions import text as tx
 from termloom.operators.documents import union_sources
-from termloom.operators.scale import BROADCAST_ROWS, cutoffs, lookup_join, materialise
+from termloom.operators.scale import (
+    BROADCAST_ROWS,
+    cutoffs,
+    materialise,
+    rewritten,
+)
+
+#: Words of 64 bits in a membership filter, and where the three bits of a hash are taken
+#: from; the low bits choose the word.
+FILTER_WORDS = 1 << 18
+FILTER_SHIFTS = (20, 32, 44)
 
 
 @dataclasses.dataclass(frozen=True)
@@ -84,6 +94,45 @@ def _placed_frequencies(df: DataFrame, settings: Features, text: str) -> DataFra
     return grams.groupBy("row_id", "term").agg(F.sum("tf").alias("tf"))
 
 
+def _word_and_bits(hashed: Column) -> tuple[Column, Column]:
+    """Word of the membership filter that a hash falls into, and its three bits there."""
+    word = hashed.bitwiseAND(F.lit(FILTER_WORDS - 1).cast("long"))
+    one, places = F.lit(1).cast("long"), F.lit(63).cast("long")
+    bits = [
+        F.call_function(
+            "shiftleft", one, F.shiftrightunsigned(hashed, k).bitwiseAND(places).cast("int")
+        )
+        for k in FILTER_SHIFTS
+    ]
+    return word, bits[0].bitwiseOR(bits[1]).bitwiseOR(bits[2])
+
+
+def membership_filter(terms: DataFrame) -> DataFrame:
+    """Bloom filter of a table of terms: ``word, bits``, built by one aggregate.
+
+    It has at most ``FILTER_WORDS`` rows, however many terms there are. A crowded filter
+    lets further terms pass, it never holds back one of the table.
+    """
+    word, bits = _word_and_bits(F.xxhash64("term"))
+    placed = terms.select(word.alias("word"), bits.alias("bits"))
+    return placed.groupBy("word").agg(F.bit_or("bits").alias("bits"))
+
+
+def possible_terms(found: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of ``found`` (with a column ``term``) whose term may be in the filter.
+
+    The filter is broadcast (its size is bounded): rows stay where they are, and the others are
+    dropped before any shuffle.
+    """
+    word, bits = _word_and_bits(F.xxhash64("term"))
+    held = members.select(F.col("word").alias("_word"), F.col("bits").alias("_bits"))
+    marked = found.select("*", word.alias("_word"), bits.alias("_own"))
+    near = marked.join(F.broadcast(held), "_word")
+    return near.where(F.col("_bits").bitwiseAND(F.col("_own")) == F.col("_own")).drop(
+        "_word", "_bits", "_own"
+    )
+
+
 def document_counts(df: DataFrame, settings: Features, text: str = "text") -> DataFrame:
     """Documents with each term: ``term, df``; cheaper than all term statistics."""
     found = df.select(F.explode(settings.distinct_terms(F.col(text))).alias("term"))
@@ -157,6 +206,43 @@ def term_weight(tf: Column, sublinear: bool) -> Column:
     return F.log(tf) + 1.0 if sublinear else tf
 
 
+def split_vocabulary(vocabulary: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The terms of most documents, at most ``limit`` of them, and all others.
+
+    Terms of equally many documents stay together. More than ``limit`` terms are in as many
+    documents as any of the others or in more, so each of those holds less than
+    1 / ``limit`` of all term rows: a shuffle on them has no hot key.
+    """
+    counted = vocabulary.groupBy("idf").agg(F.count("*").alias("_rows"))
+    upto = W.orderBy("idf").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = counted.select("idf", F.sum("_rows").over(upto).alias("_upto"))
+    border = counted.where(F.col("_upto") <= limit).agg(F.max("idf")).first()[0]
+    often = F.lit(False) if border is None else F.col("idf") <= border
+    return vocabulary.where(often), vocabulary.where(~often)
+
+
+def vocabulary_join(
+    frequencies: DataFrame,
+    vocabulary: DataFrame,
+    vocabulary_rows: int | None,
+    limit: int | None = None,
+) -> DataFrame:
+    """Term frequencies with the ``idf`` of their terms; other terms are dropped.
+
+    Up to ``limit`` terms (``BROADCAST_ROWS``) are broadcast. Of a larger vocabulary the terms of most documents
+    are; what is left of the frequencies passes a membership filter of the rare terms before
+    it is shuffled to them. ``vocabulary`` is then read several times and should be a table.
+    """
+    limit = BROADCAST_ROWS if limit is None else limit
+    terms = vocabulary.select("term", "idf")
+    if vocabulary_rows is not None and vocabulary_rows <= limit:
+        return frequencies.join(F.broadcast(terms), "term")
+    often, rare = split_vocabulary(terms, limit)
+    members = rewritten(membership_filter(rare), "filter")
+    near = frequencies.join(F.broadcast(often), "term")
+    return near.unionByName(possible_terms(frequencies, members).join(rare, "term"))
+
+
 def weigh(
     frequencies: DataFrame,
     vocabulary: DataFrame,
@@ -164,9 +250,7 @@ def weigh(
     sublinear: bool = False,
 ) -> DataFrame:
     """Weights of documents under a vocabulary with ``idf``, length 1 per document."""
-    joined = lookup_join(
-        frequencies, vocabulary.select("term", "idf"), ["term"], vocabulary_rows, "row_id"
-    )
+    joined = vocabulary_join(frequencies, vocabulary, vocabulary_rows)
     raw = joined.select(
         "row_id", "term", (term_weight(F.col("tf"), sublinear) * F.col("idf")).alias("_raw")
     )
@@ -177,7 +261,8 @@ def weigh(
 def tfidf(df: DataFrame, settings: Features, text: str = "text") -> DataFrame:
     """TF-IDF weights of a corpus under its own vocabulary: ``row_id, term, weight``.
 
-    The vocabulary is written once and counted; it is broadcast if it is small.
+    The vocabulary is written once and counted; it is broadcast if it is small, else its
+    most frequent terms are (``vocabulary_join``).
     """
     n_docs = df.count()
     counted = document_frequency(corpus_statistics(df, settings, text), n_docs, settings)

@@ -101,14 +101,15 @@ def test_vectoriser_equals_the_long_table(docs, settings):
     assert all(found[k] == pytest.approx(v, abs=1e-9) for k, v in expected.items())
 
 
-def test_large_vocabulary_uses_the_salted_join(docs, monkeypatch):
+def test_large_vocabulary_is_split_and_filtered(docs, monkeypatch):
     settings = SETTINGS[1]
     usual = {tuple(r)[:2]: r["weight"] for r in ft.tfidf(docs, settings).collect()}
     monkeypatch.setattr(scale, "BROADCAST_ROWS", 3)
     monkeypatch.setattr(ft, "BROADCAST_ROWS", 3)
-    salted = ft.tfidf(docs, settings)
-    assert "_salt" in salted._jdf.queryExecution().toString()
-    found = {tuple(r)[:2]: r["weight"] for r in salted.collect()}
+    split = ft.tfidf(docs, settings)
+    plan = split._jdf.queryExecution().toString()
+    assert "Union" in plan and "_bits" in plan
+    found = {tuple(r)[:2]: r["weight"] for r in split.collect()}
     assert found.keys() == usual.keys()
     assert all(found[k] == pytest.approx(usual[k]) for k in usual)
 
@@ -171,3 +172,62 @@ def test_external_model_does_not_depend_on_the_batch(spark, docs, batch):
     assert len(found) == docs.count()
     assert all(r["group"] == "unknown" for r in found)
     assert all((r["predicted_sentiment"] == "long") == (len(r["text"]) > 60) for r in found)
+
+
+def vocabulary_of(spark, idf):
+    return spark.createDataFrame(sorted(idf.items()), "term string, idf double")
+
+
+def test_membership_filter_holds_back_no_member(spark):
+    terms = spark.range(5_000).select(F.concat(F.lit("t"), "id").alias("term"))
+    members = ft.membership_filter(terms.where("term like '%7%'"))
+    assert members.count() <= ft.FILTER_WORDS
+    passed = {r["term"] for r in ft.possible_terms(terms, members).collect()}
+    wanted = {f"t{k}" for k in range(5_000) if "7" in str(k)}
+    assert wanted <= passed
+    # Three bits in one of 262,144 words: hardly any other term passes.
+    assert len(passed - wanted) < 50
+
+
+def test_membership_filter_of_no_terms_lets_nothing_pass(spark):
+    none = spark.createDataFrame([], "term string")
+    found = spark.createDataFrame([("a",), ("",)], "term string")
+    assert ft.possible_terms(found, ft.membership_filter(none)).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("limit", "often"), [(0, ""), (1, "a"), (2, "a"), (3, "abc"), (4, "abcd"), (9, "abcdef")]
+)
+def test_split_vocabulary_keeps_equal_frequencies_together(spark, limit, often):
+    terms = vocabulary_of(spark, dict(zip("abcdef", [1.0, 2.0, 2.0, 3.0, 4.0, 4.0], strict=True)))
+    near, far = ft.split_vocabulary(terms, limit)
+    assert "".join(sorted(r["term"] for r in near.collect())) == often
+    assert "".join(sorted(r["term"] for r in far.collect())) == "abcdef"[len(often) :]
+
+
+@pytest.mark.parametrize("rows", [7, None])
+@pytest.mark.parametrize("limit", [0, 1, 3, 6, 100])
+def test_vocabulary_join_is_a_plain_join(spark, limit, rows):
+    """A third of all rows hold one term; half of the terms are unknown."""
+    pick = random.Random(limit)
+    idf = {f"w{k}": 1.0 + k // 2 for k in range(7)}
+    pairs = [(i, "w0", 1) for i in range(60)]
+    pairs += [(i, f"w{k}", 1 + k) for i in range(60) for k in pick.sample(range(1, 14), 2)]
+    found = spark.createDataFrame(pairs, "row_id long, term string, tf int").repartition(3)
+    got = ft.vocabulary_join(found, vocabulary_of(spark, idf), rows, limit)
+    wanted = sorted((i, t, tf, idf[t]) for i, t, tf in pairs if t in idf)
+    assert sorted((r["row_id"], r["term"], r["tf"], r["idf"]) for r in got.collect()) == wanted
+
+
+def test_vocabulary_join_of_empty_tables(spark):
+    found = spark.createDataFrame([(1, "a", 1)], "row_id long, term string, tf int")
+    none = vocabulary_of(spark, {"a": 1.0}).where("false")
+    assert ft.vocabulary_join(found, none, None).count() == 0
+    assert ft.vocabulary_join(found.where("false"), vocabulary_of(spark, {"a": 1.0}), None, 0).count() == 0
+
+
+def test_no_loop_join_beyond_a_broadcast_vocabulary(spark):
+    found = spark.createDataFrame([(1, "a", 1), (1, "b", 1)], "row_id long, term string, tf int")
+    joined = ft.vocabulary_join(found, vocabulary_of(spark, {"a": 1.0, "b": 2.0}), 2, 1)
+    plan = joined._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
