@@ -3,12 +3,14 @@
 Base spans (assignments, access identifiers, long hexadecimal runs) stand on their own.
 Weak parts - names of users and accounts, tokens of mixed characters, endpoints - are
 common in clean text and are reported only when complementary parts lie within ``REACH``
-characters of each other in the same scope (a paragraph): an interval join.
+characters of each other, from the end of one to the start of the next, in the same scope
+(a paragraph): an interval join.
 
 Texts are scanned once in Arrow batches and stay where they are. Only the parts found,
-a few narrow rows, are joined, on document, scope and cells of ``REACH`` characters
-with the neighbouring cells; a cell holds at most ``REACH`` / 3 parts, so no part meets
-more than a fixed number of others however many a document has.
+a few narrow rows, are joined, on document, scope, side and cells of ``REACH`` characters
+with the neighbouring cell: the starts of later parts near a part's end, the ends of earlier
+ones near its start. A cell holds at most ``REACH`` / 3 starts or ends of a kind, so no part
+meets more than a fixed number of others however many a document has, and however long they are.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termloom.llm.common import kept, mark
@@ -142,24 +144,39 @@ def linked(found: DataFrame) -> DataFrame:
     )
     parts = found.where(F.size("parts") > 1).select("doc_id", "mark", F.explode("parts").alias("p"))
     parts = parts.select(
-        "doc_id", "mark", "p.scope", "p.start", "p.end", "p.kind", role.alias("role"),
-        F.floor(F.col("p.start") / REACH).alias("cell"),
+        "doc_id", "mark", "p.scope", "p.start", "p.end", "p.kind", role.alias("role")
     ).distinct()
-    weak = parts.where(F.col("kind").isin(*KINDS[3:]))
-    weak = weak.withColumn("cell", F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)))
-    other = parts.select(
-        *[F.col(c).alias(f"o_{c}") for c in ("doc_id", "mark", "scope", "cell", "start", "end", "role")]
-    )
+
+    def cell(place: Column) -> Column:
+        return F.floor(place / REACH)
+
+    def at(side: str, place: str, cell: Column) -> Column:
+        return F.struct(F.lit(side).alias("side"), F.col(place).alias("place"), cell.alias("cell"))
+
+    # A later part starts in the cell of this part's end or the next one, an earlier part
+    # ends in the cell of its start or the one before.
+    first, last = cell(F.col("start")), cell(F.col("end"))
+    sought = [at("after", "end", last), at("after", "end", last + 1),
+              at("before", "start", first), at("before", "start", first - 1)]
+    weak = parts.where(F.col("kind").isin(*KINDS[3:])).select("*", F.inline(F.array(*sought)))
+    held = [at("after", "start", first), at("before", "end", last)]
+    other = parts.select("*", F.inline(F.array(*held)))
+    other = other.select(*[
+        F.col(c).alias(f"o_{c}") for c in ("doc_id", "mark", "scope", "side", "place", "cell", "role")
+    ])
+    ahead = F.col("o_place") - F.col("place")
+    gap = F.when(F.col("side") == "after", ahead).otherwise(-ahead)
     near = (
         weak["doc_id"].eqNullSafe(other["o_doc_id"])
         & (weak["mark"] == other["o_mark"])
         & (weak["scope"] == other["o_scope"])
+        & (weak["side"] == other["o_side"])
         & (weak["cell"] == other["o_cell"])
-        & (F.abs(weak["start"] - other["o_start"]) <= REACH)
+        & gap.between(0, REACH)
         & (weak["role"] != other["o_role"])
     )
     keys = ["doc_id", "mark", "start", "end", "kind"]
-    met = weak.join(other, near).where("o_end <= start OR end <= o_start").groupBy(*keys).agg(
+    met = weak.join(other, near).groupBy(*[weak[k] for k in keys]).agg(
         *[F.max(F.col("o_role") == x).alias(x) for x in ("who", "what", "where")]
     )
     enough = (

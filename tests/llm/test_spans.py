@@ -148,3 +148,50 @@ def test_long_parts_are_linked(spark):
 
 def test_shape_of_a_whole_word():
     assert pii.shape("a" * 70 + "1") == pii.shape("a1").replace("xd", "xxd")
+
+
+def brute_links(text):
+    """Weak parts with complementary parts within reach, by looking at every pair."""
+    base = secrets.base_spans(text)
+    parts = base + secrets.weak_parts(text, base)
+    breaks = [m.start() for m in re.finditer(r"\n[\x20\x09-\x0D]*\n", text)]
+    roles = {"login": "who", "access": "who", "endpoint": "where"}
+    found = set()
+    for start, end, kind in parts:
+        scope = sum(b <= start for b in breaks)
+        near = {
+            roles.get(k, "what")
+            for a, b, k in parts
+            if sum(x <= a for x in breaks) == scope
+            and (0 <= a - end <= secrets.REACH or 0 <= start - b <= secrets.REACH)
+        } - {roles.get(kind, "what")}
+        enough = {
+            "login": "what" in near,
+            "opaque": bool(near & {"who", "where"}),
+            "endpoint": {"what", "who"} <= near,
+        }
+        if enough.get(kind):
+            found.add((start, end, kind))
+    return secrets.written(secrets.ordered([*base, *found]))
+
+
+def test_links_equal_all_pairs(spark):
+    pick = random.Random(5)
+    letters = "aB3xY7zQ9kLm2pR5tU"
+
+    def part():
+        return pick.choice([
+            "user: bob77", "password = hunter2x", "https://example.org/" + "p" * pick.choice([1, 250, 700]),
+            "k " + "".join(pick.choices(letters, k=pick.choice([24, 190, 420]))), "AKIA" + "Z" * 16,
+            "words " * pick.randint(1, 45), "\n\n",
+        ])
+
+    texts = [" ".join(part() for _ in range(pick.randint(2, 12))) for _ in range(300)]
+    # Exactly at the reach and one character beyond it, after a long token.
+    token = "".join(letters[k % 18] for k in range(333))
+    texts += [f"{token}{' ' * n}user: bob77" for n in (secrets.REACH, secrets.REACH + 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in secrets.secrets(docs).collect()}
+    assert found == {i: brute_links(t) for i, t in enumerate(texts)}
+    assert "login" in found[300] and "login" not in found[301]
+    assert sum("login" in s for s in found.values()) > 50
