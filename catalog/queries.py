@@ -648,6 +648,10 @@ def split_roundtrip(spark, sf_dir):
     return saved.groupBy("split", "sentiment").agg(F.count("*").alias("count"))
 
 
+#: Characters of a CSV file with line breaks in its fields, which one task reads.
+FILE_CHARACTERS = 32_000_000
+
+
 @query
 def ground_truth_validation(spark, sf_dir):
     """Labels from CSV files, numbered by position, against predictions with row ids."""
@@ -655,8 +659,10 @@ def ground_truth_validation(spark, sf_dir):
     labels = fr.table(spark, sf_dir, "labels").select("doc_id", fr.sentiment().alias("sentiment"))
     rows = fr.table(spark, sf_dir, "documents").join(labels, "doc_id", "left")
     rows = rows.select("doc_id", "text", F.coalesce("sentiment", F.lit("neutral")).alias("sentiment"))
-    # Several files in the order of the ids; their texts have line breaks.
-    writers.write_csv(rows.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id"), path)
+    # Files in the order of the ids; texts have line breaks, so that a task reads a file whole.
+    characters = rows.agg(F.sum(F.length("text"))).first()[0] or 0
+    files = max(3, -(-characters // FILE_CHARACTERS))
+    writers.write_csv(rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id"), path)
     truth = readers.read_ground_truth(spark, path).select("row_id", "sentiment")
     ids = fr.docs(spark, sf_dir, "n_chars").select("row_id", "n_chars")
     numbered = scale.ordinals(ids.withColumn("_all", F.lit(0)), ["_all"], name="position")

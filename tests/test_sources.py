@@ -203,3 +203,15 @@ def test_held_out_rows_come_from_their_folder_alone(spark, folder):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan and "= test)]" in plan
     assert found.count() == 5 and found.columns == ["text", "sentiment", "group"]
+
+
+def test_ground_truth_files_grow_in_number_not_in_size(spark, monkeypatch, tmp_path):
+    from catalog import queries
+
+    tables = "/root/testdata/sf0.001"
+    usual = sorted(map(str, queries.ground_truth_validation(spark, tables).collect()))
+    monkeypatch.setattr(queries, "_folder", lambda _: str(tmp_path / "truth"))
+    monkeypatch.setattr(queries, "FILE_CHARACTERS", 50_000)
+    found = sorted(map(str, queries.ground_truth_validation(spark, tables).collect()))
+    files = list((tmp_path / "truth").glob("*.csv"))
+    assert len(files) > 5 and found == usual
