@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from termloom.functions import text as tx
 from termloom.functions.labels import SENTIMENTS
 from termloom.operators import features, scoring, terms
-from termloom.operators.scale import materialise, spread
+from termloom.operators.scale import materialise, rewritten, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,12 +63,12 @@ def gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_odds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, dict[str, float]]:
-    """Smoothed log odds of the terms of labelled documents, their number and the
-    log share of every class. Only three totals reach the driver."""
+    """Smoothed log odds of the terms of labelled documents (``rank`` is lowest for the most
+    frequent), their number and the log share of every class. Only three totals reach the driver."""
     profile = materialise(terms.corpus_profile(labelled(spark, sf_dir)))
     found = {r["sentiment"]: r for r in terms.statistics_of(profile).collect()}
     wide = terms.counts_of(profile).groupBy("term").pivot("sentiment", SENTIMENTS)
-    wide = materialise(wide.agg(F.sum("count")).na.fill(0))
+    wide = rewritten(wide.agg(F.sum("count")).na.fill(0), "counts")
     size = wide.count()
     n_docs = sum(r["document_count"] for r in found.values())
 
@@ -82,7 +82,8 @@ def log_odds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, dict[str
         .first()[0]
         for name, r in found.items()
     }
-    return wide.select("term", *[weight(name) for name in SENTIMENTS]), size, shares
+    rank = -sum(F.col(name) for name in SENTIMENTS)
+    return wide.select("term", *map(weight, SENTIMENTS), rank.alias("rank")), size, shares
 
 
 def scorer(spark: SparkSession, sf_dir: str):
@@ -90,11 +91,11 @@ def scorer(spark: SparkSession, sf_dir: str):
     weights, size, shares = log_odds(spark, sf_dir)
 
     def score(df: DataFrame) -> DataFrame:
-        rows = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
+        rows = rewritten(df.withColumn("_row", F.monotonically_increasing_id()), "scored")
         runs = tx.sorted_runs(tx.report_tokens(F.col("model_input")))
         found = rows.select(F.col("_row").alias("row_id"), F.inline_outer(runs))
         found = found.select("row_id", "term", F.col("tf").cast("double").alias("weight"))
-        scores = scoring.linear_scores(found, weights, size, shares)
+        scores = scoring.linear_scores(found, weights, size, shares, rank="rank")
         best = scoring.best_class(digits=6).alias("predicted_sentiment")
         return rows.join(scores.select(F.col("row_id").alias("_row"), best), "_row").drop("_row")
 
@@ -107,7 +108,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     runs = tx.sorted_runs(tx.report_tokens(F.col("text")))
     rows = docs(spark, sf_dir).select("row_id", F.inline_outer(runs))
     rows = rows.select("row_id", "term", F.col("tf").cast("double").alias("weight"))
-    return scoring.linear_scores(rows, weights, size, shares)
+    return scoring.linear_scores(rows, weights, size, shares, rank="rank")
 
 
 def experiments(spark: SparkSession, sf_dir: str) -> DataFrame:

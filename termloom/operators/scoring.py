@@ -9,10 +9,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termloom.operators import documents
-
 from termloom.functions.labels import SENTIMENTS
-from termloom.operators.scale import lookup_join
+from termloom.operators import documents, features as ft, scale
+from termloom.operators.scale import lookup_join, rewritten
 
 
 def wide_weights(weights: DataFrame, classes: Sequence[str] = SENTIMENTS) -> DataFrame:
@@ -27,15 +26,29 @@ def linear_scores(
     weight_rows: int | None,
     intercepts: Mapping[str, float] | None = None,
     classes: Sequence[str] = SENTIMENTS,
+    rank: str | None = None,
 ) -> DataFrame:
     """Score of every class per document: ``row_id`` and one column per class.
 
     ``features`` has ``row_id, term, weight``; a null term keeps a document without
     terms. ``weights`` has a row per term and a column per class, so each feature row
-    is joined once, and products are summed before the shuffle.
+    is joined once, and products are summed before the shuffle. ``rank`` names a column of
+    ``weights`` that falls with the frequency of a term: of more weights than a broadcast
+    holds, those of the frequent terms are broadcast then, and only feature rows of rare
+    terms are shuffled; ``weights`` should be a table and is read several times.
     """
-    renamed = weights.select("term", *[F.col(c).alias(f"_w_{c}") for c in classes])
-    joined = lookup_join(features, renamed, ["term"], weight_rows, "row_id", "left")
+    held = [F.col(c).alias(f"_w_{c}") for c in classes]
+    renamed = weights.select("term", *held)
+    if rank is None or weight_rows is None or weight_rows <= scale.BROADCAST_ROWS:
+        joined = lookup_join(features, renamed, ["term"], weight_rows, "row_id", "left")
+    else:
+        ranked = weights.select("term", *held, F.col(rank).alias("_rank"))
+        parts = ft.split_vocabulary(ranked, scale.BROADCAST_ROWS, "_rank")
+        often, rare = [part.drop("_rank") for part in parts]
+        members = rewritten(ft.membership_filter(rare), "filter")
+        # Every row passes the first join, so that no document is lost; there a rare term adds nothing.
+        near = features.join(F.broadcast(often), "term", "left")
+        joined = near.unionByName(ft.possible_terms(features, members).join(rare, "term"))
     start = intercepts or {}
     products = [
         (

@@ -231,3 +231,22 @@ def test_no_loop_join_beyond_a_broadcast_vocabulary(spark):
     joined = ft.vocabulary_join(found, vocabulary_of(spark, {"a": 1.0, "b": 2.0}), 2, 1)
     plan = joined._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_large_weights_are_split_and_filtered(spark, monkeypatch):
+    """Frequent terms are broadcast, rare ones shuffled; every document stays."""
+    pick = random.Random(5)
+    pairs = [(i, f"w{k}", float(1 + k)) for i in range(40) for k in pick.sample(range(12), 4)]
+    pairs += [(i, None, None) for i in range(40, 43)] + [(50, "odd", 1.0), (None, "w1", 1.0)]
+    rows = spark.createDataFrame(pairs, "row_id long, term string, weight double").repartition(3)
+    made = [(f"w{k}", k / 8, 1.0 - k / 8, 0.5, -(20 - k)) for k in range(9)]
+    weights = spark.createDataFrame(
+        made, "term string, negative double, neutral double, positive double, rank long"
+    )
+    usual = sorted(map(str, scoring.linear_scores(rows, weights, 9, {"neutral": 0.25}).collect()))
+    monkeypatch.setattr(scale, "BROADCAST_ROWS", 3)
+    split = scoring.linear_scores(rows, weights, 9, {"neutral": 0.25}, rank="rank")
+    plan = split._jdf.queryExecution().toString()
+    assert "_bits" in plan and "_salt" not in plan
+    assert sorted(map(str, split.collect())) == usual
+    assert len(usual) == 45
