@@ -22,6 +22,8 @@ from termloom.operators.scale import (
     rewritten,
 )
 
+#: Characters of text that one task cuts to weighed terms.
+TASK_CHARACTERS = 4_000_000
 #: Words of 64 bits in a membership filter, and where the three bits of a hash are taken
 #: from; the low bits choose the word.
 FILTER_WORDS = 1 << 18
@@ -94,6 +96,42 @@ def _placed_frequencies(df: DataFrame, settings: Features, text: str) -> DataFra
     return grams.groupBy("row_id", "term").agg(F.sum("tf").alias("tf"))
 
 
+def _placed_with_rare(df: DataFrame, settings: Features) -> DataFrame:
+    """Term frequencies ``row_id, term, tf, idf`` of texts and ``rare_terms`` in one table.
+
+    Both are partitioned by row id; rows of a rare term have no text. ``idf`` is null in the
+    rows of the texts, and those of rare terms come twice then unless they are merged.
+    """
+    given = F.array(F.struct("term", "tf", "idf"))
+    if not settings.characters:
+        runs = tx.sorted_runs(settings.terms(F.col("text")))
+        none = F.lit(None).cast("double").alias("idf")
+        own = F.transform(runs, lambda r: F.struct(r["term"].alias("term"), r["tf"].alias("tf"), none))
+        return df.select("row_id", F.inline(F.when(F.col("term").isNotNull(), given).otherwise(own)))
+    # A rare term passes the cutting as a word of its own.
+    term = F.col("term")
+    runs = tx.sorted_runs(tx.blank_separated(F.col("text")))
+    padded = F.transform(
+        runs,
+        lambda r: F.struct(
+            F.concat(F.lit(" "), r["term"], F.lit(" ")).alias("term"), r["tf"].alias("tf"),
+            F.lit(None).cast("double").alias("idf"),
+        ),
+    )
+    words = df.select("row_id", F.inline(F.when(term.isNotNull(), given).otherwise(padded)))
+    length, size, whole = F.length("term"), F.col("size"), F.col("idf").isNotNull()
+    every = F.sequence(F.lit(settings.low), F.lit(settings.high))
+    sizes = F.explode(F.when(whole, F.array(length)).otherwise(every))
+    sized = words.select("*", sizes.alias("size")).where(
+        (length >= size) | (size == settings.low)
+    )
+    starts = F.explode(F.sequence(F.lit(1), F.greatest(length - size + 1, F.lit(1))))
+    grams = sized.select("*", starts.alias("start")).select(
+        "row_id", "tf", "idf", F.substring(F.col("term"), F.col("start"), size).alias("term")
+    )
+    return grams.groupBy("row_id", "term").agg(F.sum("tf").alias("tf"), F.max("idf").alias("idf"))
+
+
 def _word_and_bits(hashed: Column) -> tuple[Column, Column]:
     """Word of the membership filter that a hash falls into, and its three bits there."""
     word = hashed.bitwiseAND(F.lit(FILTER_WORDS - 1).cast("long"))
@@ -253,7 +291,11 @@ def weigh(
     sublinear: bool = False,
 ) -> DataFrame:
     """Weights of documents under a vocabulary with ``idf``, length 1 per document."""
-    joined = vocabulary_join(frequencies, vocabulary, vocabulary_rows)
+    return _unit_length(vocabulary_join(frequencies, vocabulary, vocabulary_rows), sublinear)
+
+
+def _unit_length(joined: DataFrame, sublinear: bool) -> DataFrame:
+    """``row_id, term, weight`` from rows with ``tf`` and ``idf``."""
     raw = joined.select(
         "row_id", "term", (term_weight(F.col("tf"), sublinear) * F.col("idf")).alias("_raw")
     )
@@ -261,24 +303,57 @@ def weigh(
     return raw.select("row_id", "term", (F.col("_raw") / length).alias("weight"))
 
 
+def rare_terms(df: DataFrame, settings: Features, text: str, rare: DataFrame) -> DataFrame:
+    """The rare terms of every document: ``row_id, term, tf, idf``.
+
+    Terms pass the membership filter of ``rare`` (``term, idf``) before they are shuffled to
+    it. Character n-grams come without their number (``tf`` 0), which the text gives.
+    """
+    members = rewritten(membership_filter(rare), "filter")
+    if settings.characters:
+        once = F.explode(settings.distinct_terms(F.col(text))).alias("term")
+        found = df.select("row_id", once, F.lit(0).cast("long").alias("tf"))
+    else:
+        found = term_frequencies(df, settings.terms, text)
+    return possible_terms(found, members).join(rare, "term").select("row_id", "term", "tf", "idf")
+
+
+def _by_row_id(df: DataFrame, characters: int) -> DataFrame:
+    """Rows moved by row id to tasks of about ``TASK_CHARACTERS`` of text.
+
+    A given number of tasks: small partitions are merged by their bytes otherwise, and a text
+    grows to many times its size when it is cut to terms.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(tasks, -(-characters // TASK_CHARACTERS)), "row_id")
+
+
 def tfidf(df: DataFrame, settings: Features, text: str = "text") -> DataFrame:
     """TF-IDF weights of a corpus under its own vocabulary: ``row_id, term, weight``.
 
     The vocabulary is written once and counted; it is broadcast if it is small, else its
-    most frequent terms are (``vocabulary_join``).
+    most frequent terms are, and the rare terms of a document travel to its text
+    (``rare_terms``). Either way texts, smaller than their term rows, are moved by row id
+    once, and the length of a document needs no shuffle of its terms.
     """
-    n_docs = df.count()
+    n_docs, characters = df.agg(F.count("*"), F.sum(F.length(text))).first()
     counted = document_frequency(corpus_statistics(df, settings, text), n_docs, settings)
-    vocabulary = materialise(with_idf(counted, n_docs).select("term", "idf"))
+    vocabulary = rewritten(with_idf(counted, n_docs).select("term", "idf"), "vocabulary")
     rows = vocabulary.count()
-    placed = df.select("row_id", text)
+    placed = df.select("row_id", F.col(text).alias("text"))
+    often = vocabulary
+    if rows > BROADCAST_ROWS:
+        often, rare = split_vocabulary(vocabulary, BROADCAST_ROWS)
+        near = rare_terms(placed, settings, "text", rare)
+        placed = placed.unionByName(near, allowMissingColumns=True)
+    placed = _by_row_id(placed, characters or 0)
     if rows <= BROADCAST_ROWS:
-        # Texts are smaller than their term rows: moved by row id once, the length
-        # of a document needs no shuffle of its terms.
-        frequencies = _placed_frequencies(placed.repartition("row_id"), settings, text)
-    else:
-        frequencies = term_frequencies(placed, settings.terms, text)
-    return weigh(frequencies, vocabulary, rows, settings.sublinear)
+        return weigh(_placed_frequencies(placed, settings, "text"), often, rows, settings.sublinear)
+    found = _placed_with_rare(placed, settings)
+    known = found.join(F.broadcast(often.withColumnRenamed("idf", "_idf")), "term", "left")
+    idf = F.coalesce("idf", "_idf")
+    joined = known.select("row_id", "term", "tf", idf.alias("idf")).where("idf IS NOT NULL")
+    return _unit_length(joined, settings.sublinear)
 
 
 def feature_union(parts: dict[str, DataFrame]) -> DataFrame:

@@ -250,3 +250,29 @@ def test_large_weights_are_split_and_filtered(spark, monkeypatch):
     assert "_bits" in plan and "_salt" not in plan
     assert sorted(map(str, split.collect())) == usual
     assert len(usual) == 45
+
+
+@pytest.mark.parametrize("settings", [SETTINGS[0], SETTINGS[1], SETTINGS[4], SETTINGS[5]])
+def test_terms_of_a_large_vocabulary_are_not_shuffled_by_document(docs, monkeypatch, settings):
+    usual = {tuple(r)[:2]: r["weight"] for r in ft.tfidf(docs, settings).collect()}
+    monkeypatch.setattr(ft, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(ft, "TASK_CHARACTERS", 300)
+    split = ft.tfidf(docs, settings)
+    found = {tuple(r)[:2]: r["weight"] for r in split.collect()}
+    assert found.keys() == usual.keys()
+    assert all(found[k] == pytest.approx(usual[k]) for k in usual)
+    # The window reads the terms as the texts lie: texts and rare terms are moved, then nothing.
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window"):]
+    assert window.index("Generate") < window.index("Exchange")
+
+
+def test_rare_terms_of_repeated_and_missing_ids(spark, monkeypatch):
+    rows = [(1, "aa bb cc"), (1, "cc dd dd"), (None, "bb dd ee"), (None, None), (2, "aa ee ff")]
+    df = spark.createDataFrame(rows, "row_id long, text string")
+    for settings in (SETTINGS[0], ft.Features(low=3, high=5, characters=True)):
+        usual = sorted((str(r["row_id"]), r["term"], round(r["weight"], 9)) for r in ft.tfidf(df, settings).collect())
+        with monkeypatch.context() as patch:
+            patch.setattr(ft, "BROADCAST_ROWS", 2)
+            found = ft.tfidf(df, settings).collect()
+        assert sorted((str(r["row_id"]), r["term"], round(r["weight"], 9)) for r in found) == usual
