@@ -829,7 +829,8 @@ def relational_training(spark, sf_dir):
     weights_of = {r["label"]: r["class_weight"] for r in candidates.class_weights(train).collect()}
     fitted = relational.train(weighed, train.select("row_id", "label"), 1.0, weights_of, tolerance=1e-3)
     kept = rows.select("row_id").join(weighed, "row_id", "left")
-    scores = scoring.linear_scores(kept, fitted.weights, size, fitted.intercepts)
+    table = scale.rewritten(fitted.weights.join(vocabulary, "term"), "weights")
+    scores = scoring.linear_scores(kept, table, size, fitted.intercepts, rank="idf")
     return rows.select("row_id", "split", "label").join(
         scores.select("row_id", scoring.best_class().alias("predicted_sentiment")), "row_id"
     )

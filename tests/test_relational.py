@@ -76,3 +76,39 @@ def test_class_weights_change_the_balance(corpus):
     counted = scores.groupBy(scoring.best_class().alias("c")).count().collect()
     found = {r["c"]: r["count"] for r in counted}
     assert found["negative"] > sum(found.values()) / 2
+
+
+def test_joins_by_document_and_term_train_alike(corpus):
+    features, labels, _ = corpus
+    near = relational.train(features, labels, strength=2.0, max_iter=3)
+    far = relational.train(features, labels, strength=2.0, max_iter=3, limit=0)
+    assert far.objective == pytest.approx(near.objective, rel=1e-9)
+    both = near.weights.join(far.weights.withColumnRenamed("neutral", "other"), "term")
+    assert both.where("abs(neutral - other) < 1e-9").count() == WIDTH
+
+
+def test_an_iteration_stores_nothing_by_term(corpus, monkeypatch):
+    features, labels, _ = corpus
+    stored, write = [], relational.rewritten
+
+    def noted(df, name):
+        stored.append((name, "term" in df.columns))
+        return write(df, name)
+
+    monkeypatch.setattr(relational, "rewritten", noted)
+    relational.train(features, labels, max_iter=2)
+    assert [name for name, by_term in stored if by_term] == ["coefficients"]
+
+
+def test_repeated_and_missing_row_ids(spark):
+    """Rows of one id share its terms; a row without an id or without terms has only the intercepts."""
+    labels = [(1, "negative"), (1, "positive"), (2, "neutral"), (None, "neutral"), (3, "positive")]
+    features = [(1, "a", 0.6), (1, "a", 0.8), (2, "b", 1.0), (None, "b", 1.0), (9, "c", 1.0)]
+    labels = spark.createDataFrame(labels, "row_id long, label string")
+    features = spark.createDataFrame(features, "row_id long, term string, weight double")
+    for limit in (None, 0):
+        found = relational.train(features, labels, max_iter=4, limit=limit)
+        machine = {r["term"]: r for r in found.weights.collect()}
+        assert sorted(machine) == ["a", "b"]
+        a, b = machine["a"], machine["b"]
+        assert abs(sum(a[c] for c in CLASSES)) < 1e-9 and b["neutral"] > 0 > a["neutral"]
