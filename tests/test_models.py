@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from termloom.models import candidates as cd
-from termloom.models import selection, weights
+from termloom.models import selection, vectoriser, weights
 from termloom.models.metadata import training_record
 from termloom.operators import documents, features, scoring
 from termloom.plans import jobs
@@ -124,3 +124,19 @@ def test_score_numbers_documents_without_ids(corpus):
     assert count == 40
     kept.unpersist()
     assert documents.first_rows(kept, 3).count() == 3
+
+
+def test_vocabulary_reaches_the_model_in_a_few_calls(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate(["größe 𝄞a word stall", "word 𝄞a x1 größe", "word"])]
+    df = spark.createDataFrame(rows, "row_id long, model_input string")
+
+    def one_by_one(*_):
+        raise AssertionError("a call for every term")
+
+    monkeypatch.setattr(vectoriser.CountVectorizerModel, "_new_java_array", one_by_one)
+    model = vectoriser.fit_vectoriser(df, features.Features(low=1, high=2))
+    terms = model.stages[1].vocabulary
+    assert {"größe", "word", "word stall", "x1 größe"} <= set(terms) and terms == sorted(terms)
+    assert model.stages[1].getOrDefault("vocabSize") == len(terms)
+    found = {r["row_id"]: r["word_counts"] for r in model.transform(df).collect()}
+    assert found[2].indices.tolist() == [terms.index("word")]
