@@ -23,6 +23,7 @@ without an id spreads over many tasks.
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import pathlib
@@ -181,20 +182,19 @@ class Encoder:
         """Ids of each text as bytes, in the order of the texts."""
         if not self.separable:
             return self._encoded(texts)
-        if len(self.rest) > MOST:
-            self.rest.clear()
-        if len(self.heads) > MOST:
-            self.heads.clear()
+        self.heads, self.rest = _trimmed(self.heads), _trimmed(self.rest)
         cut = [pieces(t) for t in texts]
         new = list({h for h, _ in cut}.difference(self.heads))
         self.heads.update(zip(new, self._encoded(new), strict=True))
-        known = self.rest.get
-        found = [list(map(known, r)) for _, r in cut]
-        short = [i for i, ids in enumerate(found) if None in ids]
-        self._learn(list({w for i in short for w, x in zip(cut[i][1], found[i], strict=True) if x is None}))
-        for i in short:
-            found[i] = list(map(known, cut[i][1]))
-        return [self.heads[h] + b"".join(ids) for (h, _), ids in zip(cut, found, strict=True)]
+        # Each piece is looked up once: those that are new are found as a set first.
+        self._learn(list(set().union(*[r for _, r in cut]).difference(self.rest)))
+        known = self.rest.__getitem__
+        return [self.heads[h] + b"".join(map(known, r)) for h, r in cut]
+
+
+def _trimmed(held: dict[str, bytes]) -> dict[str, bytes]:
+    """The older half of more than ``MOST`` pieces: frequent ones are met first."""
+    return held if len(held) <= MOST else dict(itertools.islice(held.items(), MOST // 2))
 
 
 def encoder(settings: str) -> Encoder:

@@ -49,6 +49,25 @@ def test_pieces_encode_like_whole_texts(tokenizer):
         assert head + "".join(" " + r for r in rest) == text
 
 
+def test_full_memory_keeps_its_older_half(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokenfiles, "MOST", 40)
+    encode = tokenfiles.Encoder(open(PATH).read())
+    known = []
+    for k in range(12):
+        texts = [f"start{k} the and word{k}x{i} the" for i in range(9)] + ["", "the", " the"]
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+        known.append("the" in encode.rest)
+        assert encode(texts) == want
+        assert len(encode.rest) <= 40 + 11 and len(encode.heads) <= 40 + 11
+    # A frequent piece is learned once; it was forgotten with all others before.
+    assert known == [False] + [True] * 11
+    learned = []
+    monkeypatch.setattr(encode, "_learn", learned.extend)
+    encode(["start0 the and the"])
+    assert not learned
+    assert tokenfiles._trimmed(dict.fromkeys(range(41))) == dict.fromkeys(range(20))
+
+
 def test_other_tokenizers_are_given_whole_texts():
     encode = tokenfiles.Encoder(open(public_tokenizers.path("word_bpe_49k.json")).read())
     assert not encode.separable
