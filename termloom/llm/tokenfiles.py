@@ -28,24 +28,26 @@ import json
 import os
 import pathlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from termloom.llm.common import kept, mark
+from termloom.llm.common import kept, mark, slices
 
 SEGMENT = 1 << 19
 SAMPLE = 512
 END = 0
-#: Characters of text that are encoded at once, pieces whose ids are remembered, and pieces that
-#: are encoded in one call.
-CHARACTERS = 1 << 21
-MOST = 1_000_000
-LINES = 5_000
+#: Bytes of text that are encoded at once, pieces whose ids are remembered, characters of the
+#: longest of them, and pieces that are encoded in one call.
+BYTES = 1 << 21
+MOST = 400_000
+LONGEST = 64
+PIECES = 500
 
 
 # --- Elias-Fano code of an ascending list of offsets
@@ -137,8 +139,34 @@ def pieces(text: str) -> tuple[str, list[str]]:
     return head, [r[1:] for r in rest]
 
 
+#: What the usual pattern takes as a whole wherever it stands: a run of letters, of digits or of other
+#: signs with a blank before it, and a line end between two of them. Letters are those that no version of
+#: Unicode has as anything else, signs those of ASCII but for the apostrophe, which may go with letters.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481"
+_RUNS = re.compile(rf" ?(?:[{_LETTERS}]+|[0-9]+|[!-&(-/:-@\[-`{{-~]+)|(?<=\S)\n(?=\S)")
+
+
+def plain_runs(pieces: Sequence[str]) -> list[str] | None:
+    """The runs of pieces, the first of each with the blank before it; None if any has something else."""
+    text = "".join([" " + w for w in pieces])
+    runs = _RUNS.findall(text)
+    return runs if sum(map(len, runs)) == len(text) else None
+
+
+#: Byte-level tokenizers write a byte as a character: one that can be seen as itself, others in
+#: order from 256.
+_SEEN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_HIDDEN = [b for b in range(256) if b not in _SEEN]
+_ALPHABET = "".join(chr(b if b in _SEEN else 256 + _HIDDEN.index(b)) for b in range(256))
+
+
+def spelled(runs: list[str]) -> list[str]:
+    """Runs, of which none has the byte 1, in these characters."""
+    return "\1".join(runs).encode().decode("latin-1").translate(_ALPHABET).split(_ALPHABET[1])
+
+
 class Encoder:
-    """Texts to the bytes of their ids. Remembers the ids of up to ``MOST`` pieces."""
+    """Texts to the bytes of their ids. Remembers the ids of up to ``MOST`` pieces of each kind."""
 
     def __init__(self, settings: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
@@ -149,47 +177,93 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.separable = separable(json.loads(settings))
         self.kind = id_type(self.tokenizer.get_vocab_size())
-        self.line = self._ids(["\n"])[0]
+        # The same model for runs, which the usual pattern need not find again. Special tokens are
+        # ordinary text; any other added token may span runs.
+        self.runs = Tokenizer(self.tokenizer.model)
+        numbers, special = self.tokenizer.get_vocab(), [t["special"] for t in json.loads(settings)["added_tokens"]]
+        self.plain = self.separable and all(special) and numbers.keys() >= {*_ALPHABET}
+        self.blank = np.zeros(max(numbers.values()) + 1, bool)
+        self.blank[[i for t, i in numbers.items() if t.startswith(_ALPHABET[32])]] = True
         self.heads: dict[str, bytes] = {}
         self.rest: dict[str, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind) for e in found]
+    def _encoded(self, texts: Iterable[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [ids.tobytes() for ids in self._ids(texts)]
+    def _begin(self, new: list[str]) -> None:
+        """Remember the ids of pieces that follow nothing."""
+        self.heads.update(zip(new, self._encoded(new), strict=True))
 
     def _learn(self, new: list[str]) -> None:
-        """Remember the ids of pieces that follow a blank, many lines of them in one call.
+        """Remember the ids of pieces that follow a blank, many of mere runs in one call.
 
-        A line end before a blank is a piece of its own, so its id parts the lines.
+        Blanks stand at the start of these pieces only, so the tokens that begin with one part them.
         """
-        lines = [w for w in new if w and not (w[0].isspace() or w[-1].isspace() or "\n" in w)]
         size = np.dtype(self.kind).itemsize
-        for k in range(0, len(lines), LINES):
-            part = lines[k : k + LINES]
-            ids = self._ids(["\n".join([" " + w for w in part])])[0]
-            ends = np.flatnonzero(ids == self.line[0]) * size if len(self.line) == 1 else ()
-            if len(ends) == len(part) - 1:
-                raw, starts = ids.tobytes(), [0, *(ends + size).tolist()]
-                cut = [raw[a:b] for a, b in zip(starts, [*ends.tolist(), len(raw)], strict=True)]
-                self.rest.update(zip(part, cut, strict=True))
-        left = [w for w in new if w not in self.rest]
-        self.rest.update(zip(left, self._encoded([" " + w for w in left]), strict=True))
+        for part in itertools.batched(new, PIECES):
+            runs = plain_runs(part) if self.plain else None
+            if runs is None:
+                odd = [w for w in part if not self.plain or plain_runs([w]) is None]
+                self.rest.update(zip(odd, self._encoded(" " + w for w in odd), strict=True))
+                part = [w for w in part if w not in self.rest]
+                runs = plain_runs(part) or []
+            if part:
+                found = self.runs.encode_batch_fast([spelled(runs)], is_pretokenized=True, add_special_tokens=False)
+                ids = np.array(found[0].ids, self.kind)
+                cut, raw = [*(np.flatnonzero(self.blank[ids]) * size).tolist(), len(ids) * size], ids.tobytes()
+                self.rest.update(zip(part, [raw[a:b] for a, b in itertools.pairwise(cut)], strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes, in the order of the texts."""
-        if not self.separable:
+        if not (self.separable and texts):
             return self._encoded(texts)
         self.heads, self.rest = _trimmed(self.heads), _trimmed(self.rest)
-        cut = [pieces(t) for t in texts]
-        new = list({h for h, _ in cut}.difference(self.heads))
-        self.heads.update(zip(new, self._encoded(new), strict=True))
-        # Each piece is looked up once: those that are new are found as a set first.
-        self._learn(list(set().union(*[r for _, r in cut]).difference(self.rest)))
-        known = self.rest.__getitem__
-        return [self.heads[h] + b"".join(map(known, r)) for h, r in cut]
+        if any(map(_BLANKS.search, texts)):
+            cut = pa.array([[head, *rest] for head, rest in map(pieces, texts)], pa.list_(pa.string()))
+        else:
+            cut = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        starts, ends, every = cut.offsets.to_numpy()[:-1], cut.offsets.to_numpy()[1:], cut.flatten()
+        first = np.zeros(len(every), bool)
+        first[starts] = True
+        heads = every.filter(pa.array(first)).to_numpy(zero_copy_only=False).tolist()
+        # What follows blanks is looked up once in a part.
+        coded = every.filter(pa.array(~first)).dictionary_encode()
+        rest = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = self._known(self.rest, rest, self._learn)
+        ids += self._known(self.heads, heads, self._begin)
+        number = np.empty(len(every), np.int32)
+        number[~first], number[first] = coded.indices.to_numpy(), len(rest) + np.arange(len(heads))
+        return _joined(ids, number, ends, self.kind)
+
+    def _known(self, held: dict[str, bytes], words: list[str], learn: Callable[[list[str]], None]) -> list[bytes]:
+        """Ids of pieces; those that are not held are learned."""
+        ids = list(map(held.get, words))
+        places = [i for i, x in enumerate(ids) if x is None]
+        new = list(dict.fromkeys([words[i] for i in places]))
+        learn(new)
+        for i in places:
+            ids[i] = held[words[i]]
+        # A text without a blank is one piece; long ones would fill the memory.
+        for w in new:
+            if len(w) > LONGEST:
+                del held[w]
+        return ids
+
+
+def _joined(ids: list[bytes], number: np.ndarray, ends: np.ndarray, kind: str) -> list[bytes]:
+    """``ids`` of these numbers one after the other, cut after so many numbers.
+
+    A part has fewer ids than bytes, and Arrow's strings less than 2**31 of those.
+    """
+    held, size = np.frombuffer(b"".join(ids), kind), np.dtype(kind).itemsize
+    lengths = np.fromiter(map(len, ids), np.int32, len(ids)) // np.int32(size)
+    starts, lengths = (np.cumsum(lengths, dtype=np.int32) - lengths)[number], lengths[number]
+    upto = np.cumsum(lengths, dtype=np.int32)
+    places = np.repeat(starts - upto + lengths, lengths)
+    places += np.arange(len(places), dtype=np.int32)
+    raw, stops = held[places].tobytes(), (upto[ends - 1].astype(np.int64) * size).tolist()
+    return [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
 
 
 def _trimmed(held: dict[str, bytes]) -> dict[str, bytes]:
@@ -213,19 +287,6 @@ def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def _parts(texts: list[str]) -> Iterator[list[str]]:
-    """Consecutive lists of texts of about ``CHARACTERS`` characters."""
-    part, held = [], 0
-    for text in texts:
-        part.append(text)
-        held += len(text)
-        if held >= CHARACTERS:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part
-
-
 SEGMENTS = """part int, seq int, docs int, tokens long, width int, ids binary, lower binary,
 upper binary, samples binary, doc_ids array<long>"""
 
@@ -270,11 +331,11 @@ def segments(docs: DataFrame, tokenizer: str) -> DataFrame:
             encode = encode or encoder(sent.value)
             size = np.dtype(encode.kind).itemsize
             end = np.array([END], encode.kind).tobytes()
-            numbers = iter(batch["doc_id"].to_pylist())
             part = batch["part"][0].as_py() if batch.num_rows else part
-            for texts in _parts(batch["text"].fill_null("").to_pylist()):
-                for ids in encode(texts):
-                    segment.add(next(numbers), ids + end, size)
+            for rows in slices(batch, BYTES):
+                texts = rows["text"].fill_null("").to_pylist()
+                for number, ids in zip(rows["doc_id"].to_pylist(), encode(texts), strict=True):
+                    segment.add(number, ids + end, size)
                     if segment.tokens >= SEGMENT:
                         yield segment.batch(part, seq)
                         segment, seq = Segment(), seq + 1

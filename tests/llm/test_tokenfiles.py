@@ -68,6 +68,31 @@ def test_full_memory_keeps_its_older_half(tokenizer, monkeypatch):
     assert tokenfiles._trimmed(dict.fromkeys(range(41))) == dict.fromkeys(range(20))
 
 
+def test_new_pieces_of_mere_runs_go_around_the_usual_pattern(tokenizer, monkeypatch):
+    encode, given = tokenfiles.Encoder(open(PATH).read()), []
+    whole = encode._encoded
+    monkeypatch.setattr(encode, "_encoded", lambda texts: whole(given.extend(t := list(texts)) or t))
+    texts = ["the word, and.\nMore 12ab été--x\n(y) Слово|z", "one \"two\" three_4", "the don't\x00 а\u0301 x\ny\n", ""]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert encode(texts) == want == encode(texts)
+    # Before, every piece that holds a line end went through the pattern alone.
+    assert sorted(given) == sorted(["the", "one", "", " don't\x00", " а\u0301", " x\ny\n"])
+    made, signs = random.Random(5), ["ab", "é", "Я", "7", "!?", "_", "\n", "'s", " ", "\x01", "ſ", "ǅ", "ª"]
+    texts = ["".join(made.choice(signs) for _ in range(made.randint(0, 30))) for _ in range(4000)]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert encode(texts) == want
+
+
+def test_texts_without_a_blank_do_not_fill_the_memory(tokenizer):
+    encode = tokenfiles.Encoder(open(PATH).read())
+    long = "中文" * 400
+    texts = [long, "a " + long, "b", long]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert encode(texts) == want
+    assert max(map(len, [*encode.heads, *encode.rest])) <= tokenfiles.LONGEST  # whole texts were kept before
+    assert "b" in encode.heads
+
+
 def test_other_tokenizers_are_given_whole_texts():
     encode = tokenfiles.Encoder(open(public_tokenizers.path("word_bpe_49k.json")).read())
     assert not encode.separable
