@@ -45,7 +45,7 @@ END = 0
 #: Bytes of text that are encoded at once, pieces whose ids are remembered, characters of the
 #: longest of them, and pieces that are encoded in one call.
 BYTES = 1 << 21
-MOST = 400_000
+MOST = 1_000_000
 LONGEST = 64
 PIECES = 500
 
@@ -196,11 +196,7 @@ class Encoder:
         self.heads.update(zip(new, self._encoded(new), strict=True))
 
     def _learn(self, new: list[str]) -> None:
-        """Remember the ids of pieces that follow a blank, many of mere runs in one call.
-
-        Blanks stand at the start of these pieces only, so the tokens that begin with one part them.
-        """
-        size = np.dtype(self.kind).itemsize
+        """Remember the ids of pieces that follow a blank: of mere runs, those of each run in turn."""
         for part in itertools.batched(new, PIECES):
             runs = plain_runs(part) if self.plain else None
             if runs is None:
@@ -208,11 +204,26 @@ class Encoder:
                 self.rest.update(zip(odd, self._encoded(" " + w for w in odd), strict=True))
                 part = [w for w in part if w not in self.rest]
                 runs = plain_runs(part) or []
-            if part:
-                found = self.runs.encode_batch_fast([spelled(runs)], is_pretokenized=True, add_special_tokens=False)
-                ids = np.array(found[0].ids, self.kind)
-                cut, raw = [*(np.flatnonzero(self.blank[ids]) * size).tolist(), len(ids) * size], ids.tobytes()
-                self.rest.update(zip(part, [raw[a:b] for a, b in itertools.pairwise(cut)], strict=True))
+            self._learn_runs({r for r in runs if r[0] == " "})
+            self._begin(list({r for r in runs if r[0] != " "}.difference(self.heads)))
+            found: list[bytes] = []
+            for r in runs:
+                if r[0] == " ":
+                    found.append(self.rest[r[1:]])
+                else:
+                    found[-1] += self.heads[r]
+            self.rest.update(zip(part, found, strict=True))
+
+    def _learn_runs(self, runs: set[str]) -> None:
+        """Remember the ids of runs that follow a blank, all in one call; the tokens that begin with a
+        blank part them."""
+        new = [r for r in runs if r[1:] not in self.rest]
+        if new:
+            found = self.runs.encode_batch_fast([spelled(new)], is_pretokenized=True, add_special_tokens=False)
+            ids, size = np.array(found[0].ids, self.kind), np.dtype(self.kind).itemsize
+            cut, raw = [*(np.flatnonzero(self.blank[ids]) * size).tolist(), len(ids) * size], ids.tobytes()
+            parts = [raw[a:b] for a, b in itertools.pairwise(cut)]
+            self.rest.update(zip([r[1:] for r in new], parts, strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes, in the order of the texts."""
