@@ -45,7 +45,7 @@ END = 0
 #: Bytes of text that are encoded at once, pieces whose ids are remembered, characters of the
 #: longest of them, and pieces that are encoded in one call.
 BYTES = 1 << 21
-MOST = 1_000_000
+MOST = 700_000
 LONGEST = 64
 PIECES = 500
 
