@@ -140,3 +140,19 @@ def test_vocabulary_reaches_the_model_in_a_few_calls(spark, monkeypatch):
     assert model.stages[1].getOrDefault("vocabSize") == len(terms)
     found = {r["row_id"]: r["word_counts"] for r in model.transform(df).collect()}
     assert found[2].indices.tolist() == [terms.index("word")]
+
+
+def test_queries_fit_on_every_labelled_row(spark, folder, monkeypatch):
+    """Models, splits and counts come from all labelled documents, not from a sample of them."""
+    from catalog import queries
+
+    docs = [(i, f"word{i % 7} stall{i % 5} shop", "en", f"s{i % 3}") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    frame.write.parquet(f"{folder}/documents.parquet")
+    labels = spark.createDataFrame([(i, i % 2, int(i % 5 == 0)) for i in range(50)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    monkeypatch.setattr(queries, "TRAINING_ROWS", 20, raising=False)
+    rows = queries._training(spark, folder)
+    assert rows.count() == 50 and rows.select("row_id").distinct().count() == 50
+    assert {r["row_id"] for r in queries.logreg_predictions(spark, folder).collect()} == set(range(50))
+    assert tuple(queries.saved_model(spark, folder).first()) == (50, 50)
