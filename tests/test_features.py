@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from termloom.models.vectoriser import fit_vectoriser
 from termloom.operators import features as ft
+from termloom.operators import grams
 from termloom.operators import scale, scoring
 
 WORDS = "alpha beta gamma delta the omega kappa food a7 x".split()
@@ -276,3 +277,36 @@ def test_rare_terms_of_repeated_and_missing_ids(spark, monkeypatch):
             patch.setattr(ft, "BROADCAST_ROWS", 2)
             found = ft.tfidf(df, settings).collect()
         assert sorted((str(r["row_id"]), r["term"], round(r["weight"], 9)) for r in found) == usual
+
+
+@pytest.mark.parametrize("settings", [SETTINGS[0], SETTINGS[1], SETTINGS[4]])
+def test_terms_are_counted_by_marks_and_not_as_strings(docs, corpus, monkeypatch, settings):
+    def strings(*_, **__):
+        raise AssertionError("terms are shuffled as strings")
+
+    for name in ("document_counts", "corpus_statistics", "rare_terms"):
+        monkeypatch.setattr(ft, name, strings)
+    found = {(r["row_id"], r["term"]): r["weight"] for r in ft.tfidf(docs, settings).collect()}
+    expected = tfidf_by_hand(corpus, settings)
+    assert found.keys() == expected.keys()
+    assert all(found[k] == pytest.approx(w, abs=1e-12) for k, w in expected.items())
+
+
+@pytest.mark.parametrize("settings", [SETTINGS[0], SETTINGS[1], ft.Features(low=2, high=3), SETTINGS[4], ft.Features(low=4, high=6, characters=True)])
+def test_texts_in_pieces_and_buckets_in_chunks(spark, corpus, monkeypatch, settings):
+    rows = [*enumerate(corpus), (3, corpus[5]), (3, corpus[6]), (None, corpus[7]), (None, corpus[8]), (None, None), (90, "größe 𝄞a größe")]
+    df = spark.createDataFrame(rows, "row_id long, text string").repartition(3)
+
+    def found():
+        return sorted((str(r["row_id"]), r["term"], round(r["weight"], 9)) for r in ft.tfidf(df, settings).collect())
+
+    usual = found()
+    # The rows of a repeated id have one length together.
+    squares = {}
+    for row_id, _, weight in usual:
+        squares[row_id] = squares.get(row_id, 0.0) + weight**2
+    assert {"3", "None"} <= set(squares) and all(v == pytest.approx(1.0, abs=1e-6) for v in squares.values())
+    for name, value in {"PIECE": 3, "CHUNK": 5, "KEPT": 0, "ROWS": 4, "RANGE_CHARACTERS": 200}.items():
+        monkeypatch.setattr(grams, name, value)
+    monkeypatch.setattr(ft, "TASK_CHARACTERS", 500)
+    assert found() == usual
