@@ -156,3 +156,43 @@ def test_queries_fit_on_every_labelled_row(spark, folder, monkeypatch):
     assert rows.count() == 50 and rows.select("row_id").distinct().count() == 50
     assert {r["row_id"] for r in queries.logreg_predictions(spark, folder).collect()} == set(range(50))
     assert tuple(queries.saved_model(spark, folder).first()) == (50, 50)
+
+
+def test_blocks_hold_the_vectors_of_the_pipeline(spark, monkeypatch):
+    """Features cut from texts at once are those that the stages make, a column at a time."""
+    texts = ["größe 𝄞a word stall", "word 𝄞a x1 größe the a", "", None, "a b c", "stall word stall word stall größe x1 x1"]
+    data = [(i, t, "positive" if i % 2 else "negative") for i, t in enumerate(texts * 3)] + [(99, "word", "odd")]
+    df = spark.createDataFrame(data, "row_id long, model_input string, label string").repartition(3)
+    chars = features.Features(low=3, high=5, characters=True, min_df=2, sublinear=True)
+    given = [
+        cd.Candidate("plain", features.Features(low=1, high=2, max_features=6)),
+        cd.Candidate("threes", features.Features(low=2, high=3, min_df=2, sublinear=True)),
+        cd.Candidate("both", features.Features(low=1, high=2, sublinear=True), chars, "svm"),
+        cd.Candidate("long", features.Features(max_features=5), features.Features(low=4, high=4, characters=True)),
+    ]
+    vectors, columns, widths = cd.vectorisers(df, given)
+
+    def transformed(*_):
+        raise AssertionError("the stages cut every text anew")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(vectoriser.TermArray, "_transform", transformed)
+        found = cd.feature_blocks(df, vectors, widths, "label", len(data)).collect()
+    rows = vectors.transform(df.where("label <> 'odd'")).select("label", *columns).collect()
+
+    def row(label, entries):
+        return label, tuple(tuple(sorted((int(i), round(float(v), 9)) for i, v in e if v)) for e in entries)
+
+    expected = sorted(
+        row({"negative": 0, "positive": 2}[r["label"]], [enumerate(r[c].toArray()) for c in columns]) for r in rows
+    )
+    ours = []
+    for block in found:
+        for k, label in enumerate(block.labels.tolist()):
+            held = []
+            for c in columns:
+                m = block.matrices[c]
+                own = slice(m.starts[k], m.starts[k] + m.lengths[k] - 1)
+                held.append(zip(m.indices[own], m.values[own], strict=True))
+            ours.append(row(label, held))
+    assert sorted(ours) == expected and len(ours) == 18
