@@ -19,7 +19,6 @@ transformed together in pieces of ``ENTRIES`` numbers.
 
 from __future__ import annotations
 
-import functools
 import math
 from collections.abc import Iterator
 
@@ -40,9 +39,18 @@ ENTRIES = 1 << 18
 BYTES = 1 << 21
 
 
-@functools.cache
+#: Factors that a worker has made; a cached function would travel by name, and workers have no copy of it.
+_MADE: dict[tuple[int, bool], list[np.ndarray]] = {}
+
+
 def _twiddles(size: int, inverse: bool) -> list[np.ndarray]:
-    """Factors of each step of a transform of ``size`` points."""
+    """Factors of each step of a transform of ``size`` points, made once."""
+    if (size, inverse) not in _MADE:
+        _MADE[size, inverse] = _factors(size, inverse)
+    return _MADE[size, inverse]
+
+
+def _factors(size: int, inverse: bool) -> list[np.ndarray]:
     root = pow(GENERATOR, (PRIME - 1) // size, PRIME)
     root = pow(root, -1, PRIME) if inverse else root
     powers = np.ones(max(size // 2, 1), np.uint64)
